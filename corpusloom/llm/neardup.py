@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.cluster import checkpoint
+from corpusloom.cluster import broadcast_if_small, checkpoint
 
 WORD = re.compile("[0-9A-Za-z가-힣]+")
 
@@ -99,6 +99,22 @@ def sketch_bits(prints: np.ndarray) -> np.ndarray:
     return (bits.reshape(len(prints), words, 63) << np.arange(63, dtype=np.int64)).sum(axis=2)
 
 
+def _lists(flat: pa.Array, each: int) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, each, dtype=np.int32)), flat)
+
+
+def _shingled(batches: Iterator[pa.RecordBatch], signer: Signer, rows: int = 512) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows whose second column, a text, has shingles: the rows, all shingles, their numbers and ends."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            shingles, ends = signer.shingles(part.column(1).to_pylist())
+            sizes = np.diff(ends, prepend=0)
+            have = np.flatnonzero(sizes)
+            if len(have):
+                yield part.take(pa.array(have)), shingles, sizes[have], ends[have]
+
+
 def classes(docs: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFrame, DataFrame]:
     """Every distinct key with its text's digest and whether that has a shingle, and the digests' representatives.
 
@@ -114,7 +130,7 @@ def classes(docs: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFra
     return rows, rows.groupBy("a", "b").agg(F.min("member").alias("rep"), F.count("*").alias("copies"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, segments: int = 16, width: int = 6, slack: float = 4.5) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, segments: int = 16, width: int = 6, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Links (``a``, ``b``, ``similarity``) of different texts, and members (``member``, ``rep``, ``comparable``).
 
     Similarity is the number of distinct word sequences of length ``shingle`` that two texts share over
@@ -126,7 +142,8 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
 
     Signatures (see ``Signer``) are equality-joined; a candidate goes on if the one-bit sketches of the
     whole fingerprints differ in no more bits than the threshold lets expect, plus ``slack`` standard
-    deviations; then the exact sets decide. A signature that very many texts share is a skewed key of a
+    deviations; then the exact sets decide. Candidates' keys are broadcast if there are at most
+    ``max_broadcast``, else joined. A signature that very many texts share is a skewed key of a
     plain sort-merge join, which adaptive execution splits; no bucket is gathered anywhere.
     """
     rows, groups = classes(docs, key, text, shingle)
@@ -137,58 +154,55 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
     keyed = known.withColumn("a", F.xxhash64("t")).withColumn("b", F.xxhash64(F.lit(7), F.col("t"), F.length("t")))
     reps = keyed.join(copies, ["k", "a", "b"], "left_anti").select("k", "a", "t")
 
+    reps = reps.withColumn("u", F.xxhash64("k", "a"))  # joined by a number, rows stay small
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(shingle, segments, width)
+        for part, shingles, sizes, ends in _shingled(batches, signer):
+            prints = signer.fingerprints(shingles, ends)
+            sketch = sketch_bits(prints)
+            flat = pa.array(prints.view(np.int32).reshape(-1))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes.astype(np.int32)), _lists(pa.array(sketch.reshape(-1)), sketch.shape[1]), _lists(flat, prints.shape[1])], names=["u", "n", "sketch", "prints"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(shingle, segments, width)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                shingles, ends = signer.shingles(part.column(2).to_pylist())
-                sizes = np.diff(ends, prepend=0)
-                have = np.flatnonzero(sizes)
-                if not len(have):
-                    continue
-                prints = signer.fingerprints(shingles, ends[have])
+            if batch.num_rows:
+                prints = batch.column(1).flatten().to_numpy().view(np.uint32).reshape(batch.num_rows, -1)
                 signatures = signer.signatures(prints).view(np.int64)
-                step = signatures.shape[1]
-                sketch = sketch_bits(prints)
-                lists = lambda flat, n: pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, n, dtype=np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(have)).cast(pa.string()),
-                        part.column(1).take(pa.array(have)),
-                        pa.array(sizes[have].astype(np.int32)),
-                        lists(signatures.reshape(-1), step),
-                        lists(sketch.reshape(-1), sketch.shape[1]),
-                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends[have]]).astype(np.int32)), pa.array(shingles.view(np.int64))),
-                    ],
-                    names=["k", "v", "n", "signatures", "sketch", "shingles"],
-                )
-
-    # Written once, read by the join, the sketches and the verification.
-    signed = checkpoint(reps.mapInArrow(sign, "k string, v long, n int, signatures array<long>, sketch array<long>, shingles array<long>"))
-    # Joined by a number instead of the key's text: rows stay small. v tells a key's texts apart.
-    numbered = signed.withColumn("u", F.xxhash64("k", "v"))
-    entries = numbered.select("u", F.explode("signatures").alias("s"))
-    left, right = entries.select(F.col("u").alias("ua"), "s"), entries.select(F.col("u").alias("ub"), "s")
-    candidates = left.join(right.hint("merge"), "s").where("ua < ub").select("ua", "ub").distinct()
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), signatures.shape[1])), pa.array(signatures.reshape(-1))], names=["u", "s"])
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(shingle, segments, width)
+        for part, shingles, _, ends in _shingled(batches, signer):
+            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.ListArray.from_arrays(offsets, pa.array(shingles.view(np.int64)))], names=["u", "k", "shingles"])
+
+    # Written once, read by the signatures and by both sides of the comparison of sketches.
+    signed = checkpoint(reps.select("u", "t").mapInArrow(sign, "u long, n int, sketch array<long>, prints array<int>"))
+    entries = signed.select("u", "prints").mapInArrow(cut, "u long, s long")
+    # Both sides are one plan, so their exchange is made once.
+    candidates = entries.alias("x").join(entries.alias("y").hint("merge"), F.col("x.s") == F.col("y.s")).where("x.u < y.u").select(F.col("x.u").alias("ua"), F.col("y.u").alias("ub")).distinct()
     bits = segments * width
     differing = (1 - threshold) / 2
     most = int(bits * differing + slack * (bits * differing * (1 - differing)) ** 0.5) + 1
     far = sum((F.bit_count(F.col("xa")[i].bitwiseXOR(F.col("xb")[i])) for i in range(-(-bits // 63))), F.lit(0))
-    size = lambda side: numbered.select(F.col("u").alias(f"u{side}"), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"x{side}"))
-    close = (
+    size = lambda side: signed.select(F.col("u").alias(f"u{side}"), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"x{side}"))
+    close = checkpoint(
         candidates.join(size("a"), "ua")
         .join(size("b"), "ub")
         .where((F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & (far <= most))
         .select("ua", "ub")
     )
-    sets = lambda side: numbered.select(F.col("u").alias(f"u{side}"), F.col("k").alias(f"k{side}"), F.col("shingles").alias(f"h{side}"))
-    shared = F.size(F.array_intersect("ha", "hb"))
+    # The exact sets are made again, of the candidates' texts alone.
+    wanted, _ = broadcast_if_small(close.select(F.col("ua").alias("u")).union(close.select(F.col("ub").alias("u"))).distinct(), max_broadcast)
+    sets = reps.join(wanted, "u", "left_semi").select("u", "t", "k").mapInArrow(exact, "u long, k string, shingles array<long>")
+    shared = F.size(F.array_intersect("x.shingles", "y.shingles"))
     verified = (
-        close.join(sets("a"), "ua")
-        .join(sets("b"), "ub")
-        .withColumn("shared", shared)
-        .withColumn("similarity", F.col("shared") / (F.size("ha") + F.size("hb") - F.col("shared")))
+        close.join(sets.alias("x"), F.col("ua") == F.col("x.u"))
+        .join(sets.alias("y"), F.col("ub") == F.col("y.u"))
+        .select(F.col("x.k").alias("ka"), F.col("y.k").alias("kb"), shared.alias("shared"), (F.size("x.shingles") + F.size("y.shingles")).alias("both"))
+        .withColumn("similarity", F.col("shared") / (F.col("both") - F.col("shared")))
         .where((F.col("similarity") >= threshold) & (F.col("ka") != F.col("kb")))
         .select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"), "similarity")
     )

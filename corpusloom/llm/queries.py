@@ -9,6 +9,7 @@ from corpusloom.cluster import table
 from corpusloom.llm.budget import normal_label, normal_language, token_budget
 from corpusloom.llm.neardup import expand_pairs, near_duplicate_classes, near_duplicates
 from corpusloom.llm.packing import pack
+from corpusloom.llm.truncation import truncated, truncation_rates
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,11 +39,24 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose last sentence is broken off."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return truncated(docs).where("truncated").select("doc_id").distinct()
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source of ``documents`` cuts its texts off."""
+    return truncation_rates(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_groups": p3_groups,
     "p4_token_budget": p4_token_budget,
     "p8_containers": p8_containers,
+    "p10_found": p10_found,
+    "p10_rates": p10_rates,
 }
 
 ORACLES: dict[str, str] = {}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.cluster import table
 from corpusloom.llm.budget import normal_label, normal_language, token_budget
+from corpusloom.llm.leakage import leaks
 from corpusloom.llm.neardup import expand_pairs, near_duplicate_classes, near_duplicates
 from corpusloom.llm.packing import pack
 from corpusloom.llm.truncation import truncated, truncation_rates
@@ -39,6 +40,11 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that repeat at least half of an evaluation item."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose last sentence is broken off."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,6 +61,7 @@ QUERIES = {
     "p3_groups": p3_groups,
     "p4_token_budget": p4_token_budget,
     "p8_containers": p8_containers,
+    "p9_found": p9_found,
     "p10_found": p10_found,
     "p10_rates": p10_rates,
 }

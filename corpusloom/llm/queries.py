@@ -8,11 +8,22 @@ from pyspark.sql import functions as F
 from corpusloom.cluster import table
 from corpusloom.llm.budget import normal_label, normal_language, token_budget
 from corpusloom.llm.leakage import leaks
+from corpusloom.llm.mojibake import garbled, restored
 from corpusloom.llm.neardup import expand_pairs, near_duplicate_classes, near_duplicates
 from corpusloom.llm.packing import pack
 from corpusloom.llm.truncation import truncated, truncation_rates
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attachment texts of which at least a passage was decoded with the wrong encoding."""
+    return garbled(table(spark, sf_dir, "attachment_texts")).select("text_path").distinct()
+
+
+def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The affected attachment texts, restored as far as the corpus knows their words."""
+    return restored(table(spark, sf_dir, "attachment_texts"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of documents whose bodies agree by at least 0.6 in three-word sequences."""
     links, members = near_duplicates(table(spark, sf_dir, "rule_docs"), "id", "body", shingle=3, threshold=0.6)
@@ -57,6 +68,8 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_restored": p2_restored,
     "p3_found": p3_found,
     "p3_groups": p3_groups,
     "p4_token_budget": p4_token_budget,

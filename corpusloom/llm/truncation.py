@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.cluster import checkpoint
+
 #: Context lengths of the backward model, in characters before the end; the first level ignores the line.
 ORDERS = (2, 4, 6)
 PLAIN = 3
 LEVELS = 1 + len(ORDERS)
 #: Marks that a cut leaves behind; the context before them is what counts.
-MARKS = r"(?:\s|…|\.{2,}|�|\[(?:cut|truncated|more|중략|생략|계속|이하 생략)\]|\((?:cut|truncated|more|continued|이하 생략|하략|생략|계속)\))+$"
+_MARK = re.compile(r"(?:…|�|\.{2,}|\[(?:cut|truncated|more|중략|생략|계속|이하 생략)\]|\((?:cut|truncated|more|continued|이하 생략|하략|생략|계속)\))$")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def without_mark(text: Column) -> Column:
-    """The text without trailing white space and marks of a cut."""
-    return F.regexp_replace(text, MARKS, "")
+def without_mark(text: str) -> str:
+    """The text without trailing white space and marks of a cut. Only the end is looked at."""
+    bare = text.rstrip()
+    while bare and (bare[-1] in "…�.])" and (mark := _MARK.search(bare, max(0, len(bare) - 16)))):
+        bare = bare[: mark.start()].rstrip()
+    return bare
 
 
 class Contexts:
@@ -112,39 +118,42 @@ def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The final contexts of texts, by digest."""
+    """The final contexts of texts, by digest. Blank texts are left out; ``bare`` ones are nothing but a mark."""
     for rows, texts in _chunks(batches):
-        c = Contexts(texts)
+        ends = [without_mark(t) for t in texts]
+        keep = [i for i, (t, e) in enumerate(zip(texts, ends, strict=True)) if e or t.strip()]
+        rows, bare = [rows[i] for i in keep], [not ends[i] for i in keep]
+        c = Contexts([ends[i] or " " for i in keep])
         last = c.ends - 1
         keys = c.keys(last)
         a, b = (pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([a, b, pa.array(c.script[last].astype(np.int32)), *[pa.array(k.view(np.int64)) for k in keys]], names=["a", "b", "hangul", *[f"k{i}" for i in range(LEVELS)]])
+        yield pa.RecordBatch.from_arrays([a, b, pa.array(bare), pa.array(c.script[last].astype(np.int32)), *[pa.array(k.view(np.int64)) for k in keys]], names=["a", "b", "bare", "hangul", *[f"k{i}" for i in range(LEVELS)]])
 
 
 def end_scores(docs: DataFrame, text: str = "text", weight: float = 8.0) -> DataFrame:
-    """(``a``, ``b``, ``hangul``, ``log_odds``) of every distinct non-blank text, by its digest.
+    """(``a``, ``b``, ``bare``, ``hangul``, ``log_odds``) of every distinct non-blank text, by its digest.
 
     The odds compare how likely a text, or a sentence, ends after the text's final characters with how
     likely it goes on. They come from counts over all texts for 3 characters and then, on lines of the same
     kind, of 2, 4 and 6 characters, each level smoothed by the one before with ``weight`` observations. A text's own end does not speak for
     itself, and equal texts count one end.
     """
-    body = without_mark(F.col(text))
     digest = [F.xxhash64(text).alias("a"), F.xxhash64(F.lit(7), text, F.length(text)).alias("b")]
-    known = docs.where(F.col(text).isNotNull()).select(*digest, body.alias("t")).where("t <> ''")
+    known = docs.where(F.col(text).isNotNull() & (F.col(text) != "")).select(*digest, F.col(text).alias("t"))
     inner = known.select("t").mapInArrow(_inner, "context long, ended long, went_on long")
-    final = known.mapInArrow(_final, "a long, b long, hangul int, " + ", ".join(f"k{i} long" for i in range(LEVELS))).dropDuplicates(["a", "b"])
-    each = final.select("a", "b", "hangul", F.posexplode(F.array(*[f"k{i}" for i in range(LEVELS)])).alias("level", "context"))
+    levels = [f"k{i}" for i in range(LEVELS)]
+    final = checkpoint(known.mapInArrow(_final, "a long, b long, bare boolean, hangul int, " + ", ".join(f"{k} long" for k in levels)).dropDuplicates(["a", "b"]))
+    each = final.select("a", "b", "bare", "hangul", F.posexplode(F.array(*levels)).alias("level", "context"))
     ends = each.groupBy("context").agg(F.count("*").alias("finals"))
     counts = inner.groupBy("context").agg(F.sum("ended").alias("ended"), F.sum("went_on").alias("went_on"))
     odds = ends.join(counts, "context", "left").select("context", "finals", F.coalesce("ended", F.lit(0)).alias("ended"), F.coalesce("went_on", F.lit(0)).alias("went_on"))
-    scored = each.join(odds, "context").groupBy("a", "b", "hangul").agg(F.sort_array(F.collect_list(F.struct("level", "finals", "ended", "went_on"))).alias("levels"))
+    scored = each.join(odds, "context").groupBy("a", "b", "bare", "hangul").agg(F.sort_array(F.collect_list(F.struct("level", "finals", "ended", "went_on"))).alias("levels"))
     p = F.lit(0.05)
     for i in range(LEVELS):
         level = F.col("levels")[i]
         end = level["finals"] - 1 + level["ended"]
         p = (end + weight * p) / (end + level["went_on"] + weight)
-    return scored.select("a", "b", "hangul", F.log((p + 1e-12) / (1 - p + 1e-12)).alias("log_odds"))
+    return scored.select("a", "b", "bare", "hangul", F.log((p + 1e-12) / (1 - p + 1e-12)).alias("log_odds"))
 
 
 def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", least: tuple[float, float] = (-3.0, -3.0)) -> DataFrame:
@@ -154,13 +163,12 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", least: t
     have no end to be judged: their log-odds are null and they are not truncated. Texts that consist of
     a mark only are truncated.
     """
-    scores = end_scores(docs, text).select(F.col("a").alias("__a"), F.col("b").alias("__b"), F.col("hangul").alias("__hangul"), F.col("log_odds").alias("__odds"))
+    limit = F.when(F.col("hangul") == 1, least[1]).otherwise(least[0])
+    scores = end_scores(docs, text).select(F.col("a").alias("__a"), F.col("b").alias("__b"), F.when(~F.col("bare"), F.col("log_odds")).alias("__odds"), (F.col("bare") | (F.col("log_odds") < limit)).alias("__cut"))
     keyed = docs.withColumn("__a", F.xxhash64(text)).withColumn("__b", F.xxhash64(F.lit(7), text, F.length(text)))
     joined = keyed.join(scores, ["__a", "__b"], "left")
-    bare = F.col(text).isNotNull() & (F.trim(F.col(text)) != "") & (without_mark(F.col(text)) == "")
-    limit = F.when(F.col("__hangul") == 1, least[1]).otherwise(least[0])
-    decided = F.coalesce(F.col("__odds") < limit, bare, F.lit(False))
-    return joined.select(*[F.col(c) for c in docs.columns if c not in ("log_odds", "truncated")], F.col("__odds").alias("log_odds"), decided.alias("truncated"))
+    kept = [F.col(c) for c in docs.columns if c not in ("log_odds", "truncated")]
+    return joined.select(*kept, F.col("__odds").alias("log_odds"), F.coalesce("__cut", F.lit(False)).alias("truncated"))
 
 
 def truncation_rates(docs: DataFrame, source: str = "source", **options) -> DataFrame:

@@ -11,6 +11,7 @@ from corpusloom.llm.leakage import leaks
 from corpusloom.llm.mojibake import garbled, restored
 from corpusloom.llm.neardup import expand_pairs, near_duplicate_classes, near_duplicates
 from corpusloom.llm.packing import pack
+from corpusloom.llm.prose import not_prose, text_statistics
 from corpusloom.llm.truncation import truncated, truncation_rates
 
 
@@ -46,6 +47,17 @@ def p4_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_budget(table(spark, sf_dir, "rule_docs"), slices)
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attachment texts that are not natural prose."""
+    return not_prose(table(spark, sf_dir, "attachment_texts")).distinct()
+
+
+def p7_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters, statistics and failed rules of every attachment text."""
+    stats = text_statistics(table(spark, sf_dir, "attachment_texts"))
+    return stats.withColumn("failures", F.array_join("failures", ","))
+
+
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The container of 2,048 tokens at most for every document or piece of one."""
     return pack(table(spark, sf_dir, "documents"))
@@ -73,6 +85,8 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_groups": p3_groups,
     "p4_token_budget": p4_token_budget,
+    "p7_found": p7_found,
+    "p7_statistics": p7_statistics,
     "p8_containers": p8_containers,
     "p9_found": p9_found,
     "p10_found": p10_found,

@@ -17,7 +17,9 @@ TWICE = (("utf-8", "cp1252"), ("utf-8", "latin-1"))
 #: Runs of characters beyond ASCII: what a wrong encoding changes, while the ASCII between them stays.
 RUN = r"[^\x00-\x7F]+"
 #: Words that mix ASCII letters with others: a letter with a diacritic may be misread as a Hangul syllable.
-MIXED = r"[A-Za-z]*(?:[^\x00-\x7F]+[A-Za-z]+)+[^\x00-\x7F]*|[A-Za-z]+[^\x00-\x7F]+"
+_LETTER = "À-ÖØ-öø-ɏ가-힣"
+MIXED = rf"[A-Za-z]*(?:[{_LETTER}]+[A-Za-z]+)+[{_LETTER}]*|[A-Za-z]+[{_LETTER}]+"
+_TOUCHING = rf"[A-Za-z][{_LETTER}]|[{_LETTER}][A-Za-z]"
 _LATIN_WORD = r"^(?=.*[A-Za-z])[A-Za-zÀ-ÖØ-öø-ſ]+$"
 _HANGUL_MIX = r"^(?=.*[A-Za-z])[A-Za-z가-힣]+$"
 #: Characters that make a run an ordinary one: Hangul, punctuation, enumeration signs, symbols, Greek.
@@ -91,7 +93,8 @@ def _table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def runs(text: Column) -> Column:
     """The distinct runs beyond ASCII and mixed words of a text."""
-    return F.array_union(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)), F.regexp_extract_all(text, F.lit(MIXED), F.lit(0)))
+    mixed = F.when(text.rlike(_TOUCHING), F.regexp_extract_all(text, F.lit(MIXED), F.lit(0)))
+    return F.array_union(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)), F.coalesce(mixed, F.array().cast("array<string>")))
 
 
 def matches(texts: DataFrame, key: str = "text_path", text: str = "text") -> DataFrame:
@@ -102,12 +105,14 @@ def matches(texts: DataFrame, key: str = "text_path", text: str = "text") -> Dat
     words with one. Their garbled forms under every chain make a table, against which the runs that are not ordinary are
     hash-joined.
     """
-    known = texts.where(F.col(key).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike(r"[^\x00-\x7F]")).select(F.col(key).alias("key"), runs(F.col(text)).alias("runs"))
-    every = known.select(F.explode("runs").alias("run")).distinct()
+    known = texts.where(F.col(key).isNotNull() & F.col(text).rlike(r"[^\x00-\x7F]")).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    every = known.select(F.explode(runs(F.col("text"))).alias("run")).distinct()
     words = every.where(F.col("run").rlike(_PLAIN_RUN) | F.col("run").rlike(r"^[À-ÖØ-öø-ſ]$") | F.col("run").rlike(_LATIN_WORD))
     table = words.mapInArrow(_table, "form string, word string, chain string, strong boolean")
     forms = table.groupBy("form", "chain").agg(F.countDistinct("word").alias("words"), F.min("word").alias("word"), F.max("strong").alias("strong"))
-    odd = known.select("key", F.explode(F.filter("runs", lambda r: ~r.rlike(_PLAIN_RUN) & (~r.rlike("[A-Za-z]") | r.rlike(_HANGUL_MIX)))).alias("form"))
+    # Most texts have ordinary runs only and are passed over by their characters.
+    suspect = known.where(F.col("text").rlike(rf"[^\x00-\x7F{PLAIN}]") | F.col("text").rlike(_TOUCHING))
+    odd = suspect.select("key", F.explode(F.filter(runs(F.col("text")), lambda r: ~r.rlike(_PLAIN_RUN) & (~r.rlike("[A-Za-z]") | r.rlike(_HANGUL_MIX)))).alias("form"))
     return odd.join(forms, "form").withColumnRenamed("key", key)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.cluster import table
 from corpusloom.llm.budget import normal_label, normal_language, token_budget
 from corpusloom.llm.leakage import leaks
+from corpusloom.llm.markup import analysed, fit, records
 from corpusloom.llm.mojibake import garbled, restored
 from corpusloom.llm.neardup import expand_pairs, near_duplicate_classes, near_duplicates
 from corpusloom.llm.packing import pack
@@ -47,6 +48,23 @@ def p4_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_budget(table(spark, sf_dir, "rule_docs"), slices)
 
 
+def _marked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = records(table(spark, sf_dir, "rule_docs"), "id", "body", "document")
+    return documents.unionByName(records(table(spark, sf_dir, "attachment_texts"), "text_path", "text", "attachment"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kinds of markup in documents and attachment texts."""
+    found = analysed(_marked_records(spark, sf_dir), {}, with_text=False)
+    return found.select("record_kind", "record_key", F.explode("markup").alias("markup")).distinct()
+
+
+def p6_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean text of every document and attachment text, with the kinds of markup found."""
+    texts = _marked_records(spark, sf_dir)
+    return analysed(texts, fit(texts)).withColumn("markup", F.array_join("markup", ","))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attachment texts that are not natural prose."""
     return not_prose(table(spark, sf_dir, "attachment_texts")).distinct()
@@ -85,6 +103,8 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_groups": p3_groups,
     "p4_token_budget": p4_token_budget,
+    "p6_found": p6_found,
+    "p6_clean_text": p6_clean_text,
     "p7_found": p7_found,
     "p7_statistics": p7_statistics,
     "p8_containers": p8_containers,

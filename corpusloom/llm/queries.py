@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.cluster import table
+from corpusloom.llm.alignment import align, sentence_pairs, twin_sentences
 from corpusloom.llm.budget import normal_label, normal_language, token_budget
 from corpusloom.llm.leakage import leaks
 from corpusloom.llm.markup import analysed, fit, records
@@ -16,6 +17,11 @@ from corpusloom.llm.prose import not_prose, text_statistics
 from corpusloom.llm.truncation import truncated, truncation_rates
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of sentences that say the same in a Korean document and its English twin."""
+    return sentence_pairs(align(twin_sentences(table(spark, sf_dir, "doc_sentences"))))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attachment texts of which at least a passage was decoded with the wrong encoding."""
     return garbled(table(spark, sf_dir, "attachment_texts")).select("text_path").distinct()
@@ -98,6 +104,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_restored": p2_restored,
     "p3_found": p3_found,

@@ -55,7 +55,12 @@ class _Parser:
         while (token := self.peek()) and not (token in ends or token.upper() == "RIGHT" and "RIGHT" in ends):
             if token.lower() == "over" and atoms:
                 self.take()
-                atoms.append(rf"\frac{{{_open(atoms.pop())}}}{{{_open(self.scripted(ends) or '')}}}")
+                start = self.numerator(atoms)
+                below = self.denominator(ends)
+                if start < len(atoms) and below:
+                    atoms[start:] = [rf"\frac{{{_open(_join(atoms[start:]))}}}{{{below}}}"]
+                else:
+                    atoms.append(below)
             elif token == "/" and slash is None and atoms and not cells:
                 self.take()
                 slash = len(atoms)
@@ -73,6 +78,26 @@ class _Parser:
             atoms[start:stop] = [rf"\frac{{{_join(atoms[start:slash])}}}{{{_join(atoms[slash:stop])}}}"]
         return [a for a in atoms if a]
 
+    @staticmethod
+    def numerator(atoms: list[str]) -> int:
+        """Where an infix fraction begins: after the last sign that divides, or bracket that is still open;
+        a comparison that would come first stays outside."""
+        start, closed = len(atoms), 0
+        while start and not (not closed and atoms[start - 1] in ("=", ",", "+", ";", "&", r"\\", "(", "[")):
+            start -= 1
+            closed += (atoms[start] in (")", "]")) - (atoms[start] in ("(", "["))
+        return start + (start < len(atoms) - 1 and atoms[start] in (r"\le", r"\ge", r"\ne"))
+
+    def denominator(self, ends: frozenset[str]) -> str:
+        """A group in braces, or what follows up to a sign that divides or a closing bracket."""
+        if self.peek() == "{":
+            return _open(self.atom())
+        parts, depth = [], 0
+        while (token := self.peek()) and token not in ends and (depth or token not in ("TIMES", "times", "+", "-", "=", ",", ";", "&", "#", ")", "]")):
+            depth += (token in "([") - (token in ")]")
+            parts.append(self.scripted(ends) or "")
+        return _join(parts)
+
     def scripted(self, ends: frozenset[str]) -> str | None:
         """One atom with its sub- and superscripts; repeated ones nest."""
         if not self.peek() or self.peek() in ends:
@@ -90,8 +115,7 @@ class _Parser:
         return base
 
     def group(self) -> str:
-        """What stands in braces; a missing brace ends with the script."""
-        self.take()
+        """What stands in braces that were opened; a missing brace ends with the script."""
         inner = _join(self.sequence(frozenset("}")))
         if self.peek() == "}":
             self.take()
@@ -135,7 +159,7 @@ class _Parser:
             return rf"\right{_DELIMITERS.get(self.take(), '.') if self.peek() else '.'}"
         if re.match("[가-힣ㄱ-ㆎ]", token):
             return rf"\text{{{normal_text(re.sub('[`~]', ' ', token))}}}"
-        return SYMBOLS.get(token) or SIGNS.get(token) or ("bar{r}" and r"\bar{r}" if token == "barr" else token)
+        return SYMBOLS.get(token) or SIGNS.get(token) or (r"\bar{r}" if token == "barr" else token)
 
 
 def _open(atom: str) -> str:

@@ -22,7 +22,7 @@ def extension(file_name: Column, raw_path: Column) -> Column:
     return F.coalesce(F.nullif(F.lower(suffix(own)), F.lit("")), F.lit("(none)"))
 
 
-def audited(attachments: DataFrame, texts: DataFrame, hints: DataFrame | None = None, max_text_joins: None = None) -> DataFrame:
+def audited(attachments: DataFrame, texts: DataFrame, hints: DataFrame | None = None) -> DataFrame:
     """``attachments`` with ``route``, the counters of their present text, ``flags``, ``score`` and ``quality``.
 
     ``texts`` has unique ``text_path`` and ``text``; ``hints`` unique ``raw_path``, ``raw_tables`` and
@@ -51,7 +51,7 @@ def audited(attachments: DataFrame, texts: DataFrame, hints: DataFrame | None =
     routed = joined.withColumn("route", route)
     inspected = F.col("route") == "inspected"
     counted = routed.withColumns({n: F.when(inspected, F.col(n)).otherwise(F.lit(0)).cast("long") for n in names})
-    flagged = counted.withColumn("flags", F.when(inspected, quality.flags(*raw)).when(F.col("route") == "conversion_pending", F.array().cast("array<string>")).otherwise(F.array("route")))
+    flagged = counted.withColumn("flags", F.when(inspected, quality.flags(*raw)).otherwise(F.array("route")))
     graded = F.when(inspected, quality.status(F.col("flags"))).when(F.col("route") == "conversion_pending", "pending").otherwise("fail")
     return flagged.withColumn("score", F.when(inspected, quality.score(F.col("flags"))).otherwise(0)).withColumn("quality", graded).drop("__path", "__found")
 
@@ -63,14 +63,13 @@ def issues(audit: DataFrame) -> DataFrame:
     that failed or are pending are warnings.
     """
     route = F.col("route")
-    codes = F.when(route.isin("inspected", "missing_text_path", "missing_converted_file"), F.col("flags")).otherwise(F.array("route"))
-    rows = audit.select("*", F.posexplode(codes).alias("flag_pos", "code"))
+    rows = audit.select("*", F.posexplode("flags").alias("flag_pos", "code"))
     severity = F.when(route.isin("missing_text_path", "missing_converted_file") | ((route == "inspected") & (F.col("quality") == "fail")), "error").otherwise("warn")
     message = (
         F.when(F.col("code") == "missing_text_path", "converted attachment has no text_path")
         .when(F.col("code") == "missing_converted_file", F.concat(F.lit("missing converted text file "), F.col("text_path")))
         .when(F.col("code") == "conversion_failed", F.coalesce(F.nullif(text_or_empty(F.col("error")), F.lit("")), F.lit("attachment conversion failed")))
-        .when(F.col("code") == "conversion_pending", F.concat(F.lit("attachment status is "), state(F.col("status"))))
+        .when(F.col("code") == "conversion_pending", "attachment has not been converted")
         .otherwise(quality.message(F.col("code"), F.col("non_space_chars"), F.col("replacement_char_count")))
     )
     return rows.withColumn("severity", severity).withColumn("message", message)

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from corpusloom import schema
 from corpusloom.functions.text import json_scalar, normalize_language, slug, strip, text_or_empty
@@ -54,7 +55,10 @@ def parse_front_matter(text: str) -> tuple[dict[str, str], list[dict[str, str]]]
     return fields, listed
 
 
-@F.pandas_udf("fields map<string,string>, attachments array<map<string,string>>")
+_STRINGS = MapType(StringType(), StringType())
+
+
+@F.pandas_udf(StructType([StructField("fields", _STRINGS), StructField("attachments", ArrayType(_STRINGS))]))
 def front_matter(texts: pd.Series) -> pd.DataFrame:
     parsed = [parse_front_matter(t or "") for t in texts]
     return pd.DataFrame({"fields": [f for f, _ in parsed], "attachments": [a for _, a in parsed]})

@@ -395,7 +395,7 @@ ORACLES = {
     + " UNION ALL SELECT p.path || ': converted attachment ' || a.id || ' has no text_path' FROM attachments a JOIN (SELECT DISTINCT id, path FROM rule_docs) p ON a.document_id = p.id WHERE a.status = 'converted' AND coalesce(a.text_path, '') = ''"
     + " UNION ALL SELECT p.path || ': failed attachment ' || a.id || ' must not expose text_path' FROM attachments a JOIN (SELECT DISTINCT id, path FROM rule_docs) p ON a.document_id = p.id WHERE a.status = 'failed' AND coalesce(a.text_path, '') <> '') GROUP BY message",
     "nest_unnest": "SELECT document_id, row_number() OVER (PARTITION BY document_id ORDER BY ord NULLS FIRST, id NULLS FIRST, title NULLS FIRST) - 1 AS pos, id, title FROM attachments",
-    "drop_excluded": f"""SELECT coalesce(sum(gone), 0) AS removed, count_if(gone > 0) AS changed FROM (SELECT d.document_id, d.document_type, count_if(CASE WHEN d.document_type = 'rule' THEN {_EXCLUDED}
+    "drop_excluded": f"""SELECT CAST(coalesce(sum(gone), 0) AS BIGINT) AS removed, CAST(count_if(gone > 0) AS BIGINT) AS changed FROM (SELECT d.document_id, d.document_type, count_if(CASE WHEN d.document_type = 'rule' THEN {_EXCLUDED}
   ELSE regexp_matches(x, 'filecd=jun|(^|[-_/])jun($|[-_.?/=&\\s])') OR trim(coalesce(title, '')) = '전문' END) AS gone
   FROM (SELECT *, {_EXCLUDED_TEXT} AS x FROM attachments) a JOIN (SELECT DISTINCT id AS document_id, lower(document_type) AS document_type FROM rule_docs) d ON a.document_id = d.document_id GROUP BY 1, 2)""",
     "policy_exclusion": f"SELECT id, ord, title FROM (SELECT *, {_EXCLUDED_TEXT} AS x FROM attachments) WHERE {_EXCLUDED}",

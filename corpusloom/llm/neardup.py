@@ -142,14 +142,14 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
 
     Signatures (see ``Signer``) are equality-joined; a candidate goes on if the one-bit sketches of the
     whole fingerprints differ in no more bits than the threshold lets expect, plus ``slack`` standard
-    deviations; then the exact sets decide. Candidates' keys are broadcast if there are at most
-    ``max_broadcast``, else joined. A signature that very many texts share is a skewed key of a
+    deviations; then the exact sets decide. Copies' and candidates' keys are broadcast if there are at
+    most ``max_broadcast``, else joined. A signature that very many texts share is a skewed key of a
     plain sort-merge join, which adaptive execution splits; no bucket is gathered anywhere.
     """
     rows, groups = classes(docs, key, text, shingle)
     members = rows.join(groups, ["a", "b"]).select("member", "rep", "comparable")
-    # Copies are few or many; only they are removed, by a join whose other side is no larger than they are.
-    copies = rows.join(groups.where("copies > 1"), ["a", "b"]).where("member <> rep").select(F.col("member").alias("k"), "a", "b")
+    # Copies are removed by a join that leaves the texts where they are, unless very many are copies.
+    copies, _ = broadcast_if_small(rows.join(groups.where("copies > 1"), ["a", "b"]).where("member <> rep").select(F.col("member").alias("k"), "a", "b"), max_broadcast)
     known = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"))
     keyed = known.withColumn("a", F.xxhash64("t")).withColumn("b", F.xxhash64(F.lit(7), F.col("t"), F.length("t")))
     reps = keyed.join(copies, ["k", "a", "b"], "left_anti").select("k", "a", "t")

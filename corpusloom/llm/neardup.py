@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -85,6 +86,17 @@ class Signer:
         return (left ^ (left >> np.uint64(32))).reshape(len(prints), -1)
 
 
+def shape(threshold: float, miss: float = 2e-4, most: int = 128) -> tuple[int, int]:
+    """(segments, width): the longest segments, and so the rarest signatures, with which two texts exactly
+    at the threshold are missed no more often than ``miss`` and a text has at most ``most`` signatures."""
+    for width in range(12, 1, -1):
+        one = threshold**width + width * (1 - threshold) * threshold ** (width - 1)
+        segments = math.ceil(math.log(miss) / math.log(1 - one)) if one < 1 else 1
+        if segments * width <= most:
+            return segments, width
+    raise ValueError(f"no signature of at most {most} variants finds texts of similarity {threshold}")
+
+
 def _hash64(word: str) -> int:
     import xxhash
 
@@ -130,7 +142,7 @@ def classes(docs: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFra
     return rows, rows.groupBy("a", "b").agg(F.min("member").alias("rep"), F.count("*").alias("copies"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, segments: int = 16, width: int = 6, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, miss: float = 2e-4, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Links (``a``, ``b``, ``similarity``) of different texts, and members (``member``, ``rep``, ``comparable``).
 
     Similarity is the number of distinct word sequences of length ``shingle`` that two texts share over
@@ -140,12 +152,14 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
     out. Repeated rows are one; a key with several texts takes part with each. Other columns are not
     read. No rows: no links.
 
-    Signatures (see ``Signer``) are equality-joined; a candidate goes on if the one-bit sketches of the
+    Signatures (see ``Signer``) are equality-joined; a pair exactly at the threshold is missed with the
+    probability ``miss``, more similar ones far less often; a candidate goes on if the one-bit sketches of the
     whole fingerprints differ in no more bits than the threshold lets expect, plus ``slack`` standard
     deviations; then the exact sets decide. Copies' and candidates' keys are broadcast if there are at
     most ``max_broadcast``, else joined. A signature that very many texts share is a skewed key of a
     plain sort-merge join, which adaptive execution splits; no bucket is gathered anywhere.
     """
+    segments, width = shape(threshold, miss)
     rows, groups = classes(docs, key, text, shingle)
     members = rows.join(groups, ["a", "b"]).select("member", "rep", "comparable")
     # Copies are removed by a join that leaves the texts where they are, unless very many are copies.

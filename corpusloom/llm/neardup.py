@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from corpusloom.cluster import broadcast_if_small, checkpoint
 
 WORD = re.compile("[0-9A-Za-z가-힣]+")
+#: Bits of the sketch that travel with every signature; the other bits of that number tell texts apart.
+SHORT = 48
 
 
 class Signer:
@@ -86,7 +88,7 @@ class Signer:
         return (left ^ (left >> np.uint64(32))).reshape(len(prints), -1)
 
 
-def shape(threshold: float, miss: float = 2e-4, most: int = 128) -> tuple[int, int]:
+def shape(threshold: float, miss: float = 5e-4, most: int = 128) -> tuple[int, int]:
     """(segments, width): the longest segments, and so the rarest signatures, with which two texts exactly
     at the threshold are missed no more often than ``miss`` and a text has at most ``most`` signatures."""
     for width in range(12, 1, -1):
@@ -142,7 +144,7 @@ def classes(docs: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFra
     return rows, rows.groupBy("a", "b").agg(F.min("member").alias("rep"), F.count("*").alias("copies"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, miss: float = 2e-4, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, miss: float = 5e-4, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Links (``a``, ``b``, ``similarity``) of different texts, and members (``member``, ``rep``, ``comparable``).
 
     Similarity is the number of distinct word sequences of length ``shingle`` that two texts share over
@@ -153,7 +155,8 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
     read. No rows: no links.
 
     Signatures (see ``Signer``) are equality-joined; a pair exactly at the threshold is missed with the
-    probability ``miss``, more similar ones far less often; a candidate goes on if the one-bit sketches of the
+    probability ``miss``, more similar ones far less often (texts that agree nearly wholly with 1 in
+    100,000, where their 64-bit stand-ins coincide); a candidate goes on if the one-bit sketches of the
     whole fingerprints differ in no more bits than the threshold lets expect, plus ``slack`` standard
     deviations; then the exact sets decide. Copies' and candidates' keys are broadcast if there are at
     most ``max_broadcast``, else joined. A signature that very many texts share is a skewed key of a
@@ -176,7 +179,9 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
             prints = signer.fingerprints(shingles, ends)
             sketch = sketch_bits(prints)
             flat = pa.array(prints.view(np.int32).reshape(-1))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes.astype(np.int32)), _lists(pa.array(sketch.reshape(-1)), sketch.shape[1]), _lists(flat, prints.shape[1])], names=["u", "n", "sketch", "prints"])
+            # What stands for the text in the join: the sketch's first bits, and some of its name's digest.
+            short = ((sketch[:, 0] & ((1 << SHORT) - 1)) << (64 - SHORT)) | (part.column(0).to_numpy() & ((1 << (64 - SHORT)) - 1))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(short), pa.array(sizes.astype(np.int32)), _lists(pa.array(sketch.reshape(-1)), sketch.shape[1]), _lists(flat, prints.shape[1])], names=["u", "e", "n", "sketch", "prints"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(shingle, segments, width)
@@ -184,7 +189,7 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
             if batch.num_rows:
                 prints = batch.column(1).flatten().to_numpy().view(np.uint32).reshape(batch.num_rows, -1)
                 signatures = signer.signatures(prints).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), signatures.shape[1])), pa.array(signatures.reshape(-1))], names=["u", "s"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), signatures.shape[1])), pa.array(signatures.reshape(-1))], names=["e", "s"])
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(shingle, segments, width)
@@ -193,20 +198,21 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.ListArray.from_arrays(offsets, pa.array(shingles.view(np.int64)))], names=["u", "k", "shingles"])
 
     # Written once, read by the signatures and by both sides of the comparison of sketches.
-    signed = checkpoint(reps.select("u", "t").mapInArrow(sign, "u long, n int, sketch array<long>, prints array<int>"))
-    entries = signed.select("u", "prints").mapInArrow(cut, "u long, s long")
-    # Both sides are one plan, so their exchange is made once.
-    candidates = entries.alias("x").join(entries.alias("y").hint("merge"), F.col("x.s") == F.col("y.s")).where("x.u < y.u").select(F.col("x.u").alias("ua"), F.col("y.u").alias("ub")).distinct()
-    bits = segments * width
-    differing = (1 - threshold) / 2
-    most = int(bits * differing + slack * (bits * differing * (1 - differing)) ** 0.5) + 1
+    signed = checkpoint(reps.select("u", "t").mapInArrow(sign, "u long, e long, n int, sketch array<long>, prints array<int>"))
+    entries = signed.select("e", "prints").mapInArrow(cut, "e long, s long")
+    bits, differing = segments * width, (1 - threshold) / 2
+    most = lambda many, deviations: int(many * differing + deviations * (many * differing * (1 - differing)) ** 0.5) + 1
+    # Both sides are one plan, so their exchange is made once. Most chance pairs end here, unmoved.
+    like = F.bit_count(F.shiftrightunsigned(F.col("x.e").bitwiseXOR(F.col("y.e")), 64 - SHORT)) <= most(SHORT, slack - 0.5)
+    candidates = entries.alias("x").join(entries.alias("y").hint("merge"), F.col("x.s") == F.col("y.s")).where((F.col("x.e") < F.col("y.e")) & like).select(F.col("x.e").alias("ea"), F.col("y.e").alias("eb")).distinct()
     far = sum((F.bit_count(F.col("xa")[i].bitwiseXOR(F.col("xb")[i])) for i in range(-(-bits // 63))), F.lit(0))
-    size = lambda side: signed.select(F.col("u").alias(f"u{side}"), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"x{side}"))
+    size = lambda side: signed.select(F.col("e").alias(f"e{side}"), F.col("u").alias(f"u{side}"), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"x{side}"))
     close = checkpoint(
-        candidates.join(size("a"), "ua")
-        .join(size("b"), "ub")
-        .where((F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & (far <= most))
+        candidates.join(size("a"), "ea")
+        .join(size("b"), "eb")
+        .where((F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & (far <= most(bits, slack)))
         .select("ua", "ub")
+        .distinct()
     )
     # The exact sets are made again, of the candidates' texts alone.
     wanted, _ = broadcast_if_small(close.select(F.col("ua").alias("u")).union(close.select(F.col("ub").alias("u"))).distinct(), max_broadcast)

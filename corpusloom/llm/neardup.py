@@ -88,7 +88,7 @@ class Signer:
         return (left ^ (left >> np.uint64(32))).reshape(len(prints), -1)
 
 
-def shape(threshold: float, miss: float = 5e-4, most: int = 128) -> tuple[int, int]:
+def shape(threshold: float, miss: float = 2e-3, most: int = 128) -> tuple[int, int]:
     """(segments, width): the longest segments, and so the rarest signatures, with which two texts exactly
     at the threshold are missed no more often than ``miss`` and a text has at most ``most`` signatures."""
     for width in range(12, 1, -1):
@@ -144,7 +144,7 @@ def classes(docs: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFra
     return rows, rows.groupBy("a", "b").agg(F.min("member").alias("rep"), F.count("*").alias("copies"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, miss: float = 5e-4, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, miss: float = 2e-3, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Links (``a``, ``b``, ``similarity``) of different texts, and members (``member``, ``rep``, ``comparable``).
 
     Similarity is the number of distinct word sequences of length ``shingle`` that two texts share over

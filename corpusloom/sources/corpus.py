@@ -110,6 +110,12 @@ def parse_documents(files: DataFrame, path: str = "path", text: str = "text", pe
     return parsed.select(checked.alias("id"), *columns[1:])
 
 
+def _relative(uri: Column, root: str) -> Column:
+    """The path of a local file below ``root``."""
+    path = F.url_decode(F.replace(F.regexp_replace(uri, "^file:/*", "/"), F.lit("+"), F.lit("%2B")))
+    return F.substr(path, F.lit(len(os.path.abspath(root)) + 2), F.length(path))
+
+
 def document_paths(root: str) -> list[str]:
     """Patterns of the document files below a root, of folders that exist."""
     folders = [os.path.join(root, r) for r in ROOTS if os.path.isdir(os.path.join(root, r))]
@@ -117,22 +123,20 @@ def document_paths(root: str) -> list[str]:
 
 
 def load_documents(spark: SparkSession, root: str, permissive: bool = False) -> DataFrame:
-    """All documents of a corpus, each file once; texts of attachments are none."""
+    """All documents of a corpus, each file once (no file fits two patterns); texts of attachments are none."""
     import glob
 
     found = [p for p in document_paths(root) if glob.glob(p)]
     if not found:
         return spark.createDataFrame([], schema.DOCUMENT)
-    files = spark.read.text(found, wholetext=True).select(F.expr("replace(_metadata.file_path, 'file:', '')").alias("file"), F.col("value").alias("text"))
-    relative = F.regexp_replace(F.url_decode("file"), f"^/*{root.strip('/')}/", "")
-    return parse_documents(files.select(relative.alias("path"), "text").dropDuplicates(["path"]), permissive=permissive)
+    files = spark.read.text(found, wholetext=True).select(_relative(F.col("_metadata.file_path"), root).alias("path"), F.col("value").alias("text"))
+    return parse_documents(files, permissive=permissive)
 
 
 def load_files(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
     """Files of attachments below a corpus: ``rel_path`` and ``length``, and ``content`` if wanted."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    relative = F.regexp_replace(F.url_decode(F.regexp_replace("path", "^file:", "")), f"^/*{root.strip('/')}/", "")
-    kept = files.select(relative.alias("rel_path"), "length", *(["content"] if content else []))
+    kept = files.select(_relative(F.col("path"), root).alias("rel_path"), "length", *(["content"] if content else []))
     return kept.where(F.col("rel_path").rlike("(^|/)(raw|attachments)/"))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.cluster import broadcast_if_small, checkpoint
@@ -88,7 +88,41 @@ class Signer:
         return (left ^ (left >> np.uint64(32))).reshape(len(prints), -1)
 
 
-def shape(threshold: float, miss: float = 2e-3, most: int = 128) -> tuple[int, int]:
+def shape(threshold: float, miss: float = 1e-3, most: int = 128) -> tuple[int, int]:
+    """(segments, width): the longest segments, and so the rarest signatures, with which two texts exactly
+    at the threshold are missed no more often than ``miss`` and a text has at most ``most`` signatures."""
+    for width in range(12, 1, -1):
+        one = threshold**width + width * (1 - threshold) * threshold ** (width - 1)
+        segments = math.ceil(math.log(miss) / math.log(1 - one)) if one < 1 else 1
+        if segments * width <= most:
+            return segments, width
+    raise ValueError(f"no signature of at most {most} variants finds texts of similarity {threshold}")
+
+
+def _hash64(word: str) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(word)
+
+
+def packed(prints: np.ndarray, bits: int) -> np.ndarray:
+    """The lowest ``bits`` bits of every minimum, as many to a signed long as fit into 60 bits."""
+    each = 60 // bits
+    words = -(-prints.shape[1] // each)
+    parts = np.zeros((len(prints), words * each), dtype=np.int64)
+    parts[:, : prints.shape[1]] = prints & ((1 << bits) - 1)
+    return (parts.reshape(len(prints), words, each) << (bits * np.arange(each, dtype=np.int64))).sum(axis=2)
+
+
+def equal_nibbles(a: Column, b: Column) -> Column:
+    """How many of the 15 groups of four bits of two longs agree."""
+    differ = a.bitwiseXOR(b)
+    pairs = differ.bitwiseOR(F.shiftrightunsigned(differ, 1))
+    groups = pairs.bitwiseOR(F.shiftrightunsigned(pairs, 2))
+    return 15 - F.bit_count(groups.bitwiseAND(F.lit(0x111111111111111)))
+
+
+def shape(threshold: float, miss: float = 1e-3, most: int = 128) -> tuple[int, int]:
     """(segments, width): the longest segments, and so the rarest signatures, with which two texts exactly
     at the threshold are missed no more often than ``miss`` and a text has at most ``most`` signatures."""
     for width in range(12, 1, -1):
@@ -144,7 +178,7 @@ def classes(docs: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFra
     return rows, rows.groupBy("a", "b").agg(F.min("member").alias("rep"), F.count("*").alias("copies"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, miss: float = 2e-3, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, miss: float = 1e-3, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Links (``a``, ``b``, ``similarity``) of different texts, and members (``member``, ``rep``, ``comparable``).
 
     Similarity is the number of distinct word sequences of length ``shingle`` that two texts share over
@@ -156,8 +190,8 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
 
     Signatures (see ``Signer``) are equality-joined; a pair exactly at the threshold is missed with the
     probability ``miss``, more similar ones far less often (texts that agree nearly wholly with 1 in
-    100,000, where their 64-bit stand-ins coincide); a candidate goes on if the one-bit sketches of the
-    whole fingerprints differ in no more bits than the threshold lets expect, plus ``slack`` standard
+    100,000, where their 64-bit stand-ins coincide); a candidate goes on if the sketches of the whole
+    fingerprints, four bits a minimum, agree as often as the threshold lets expect, less ``slack`` standard
     deviations; then the exact sets decide. Copies' and candidates' keys are broadcast if there are at
     most ``max_broadcast``, else joined. A signature that very many texts share is a skewed key of a
     plain sort-merge join, which adaptive execution splits; no bucket is gathered anywhere.
@@ -177,10 +211,10 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
         signer = Signer(shingle, segments, width)
         for part, shingles, sizes, ends in _shingled(batches, signer):
             prints = signer.fingerprints(shingles, ends)
-            sketch = sketch_bits(prints)
+            sketch = packed(prints, 4)
             flat = pa.array(prints.view(np.int32).reshape(-1))
             # What stands for the text in the join: the sketch's first bits, and some of its name's digest.
-            short = ((sketch[:, 0] & ((1 << SHORT) - 1)) << (64 - SHORT)) | (part.column(0).to_numpy() & ((1 << (64 - SHORT)) - 1))
+            short = ((packed(prints[:, :SHORT], 1)[:, 0] & ((1 << SHORT) - 1)) << (64 - SHORT)) | (part.column(0).to_numpy() & ((1 << (64 - SHORT)) - 1))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(short), pa.array(sizes.astype(np.int32)), _lists(pa.array(sketch.reshape(-1)), sketch.shape[1]), _lists(flat, prints.shape[1])], names=["u", "e", "n", "sketch", "prints"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,17 +234,18 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
     # Written once, read by the signatures and by both sides of the comparison of sketches.
     signed = checkpoint(reps.select("u", "t").mapInArrow(sign, "u long, e long, n int, sketch array<long>, prints array<int>"))
     entries = signed.select("e", "prints").mapInArrow(cut, "e long, s long")
-    bits, differing = segments * width, (1 - threshold) / 2
-    most = lambda many, deviations: int(many * differing + deviations * (many * differing * (1 - differing)) ** 0.5) + 1
+    many, differing, agreeing = segments * width, (1 - threshold) / 2, threshold + (1 - threshold) / 16
+    spread = lambda n, p: (n * p * (1 - p)) ** 0.5
     # Both sides are one plan, so their exchange is made once. Most chance pairs end here, unmoved.
-    like = F.bit_count(F.shiftrightunsigned(F.col("x.e").bitwiseXOR(F.col("y.e")), 64 - SHORT)) <= most(SHORT, slack - 0.5)
+    like = F.bit_count(F.shiftrightunsigned(F.col("x.e").bitwiseXOR(F.col("y.e")), 64 - SHORT)) <= int(SHORT * differing + (slack - 0.5) * spread(SHORT, differing)) + 1
     candidates = entries.alias("x").join(entries.alias("y").hint("merge"), F.col("x.s") == F.col("y.s")).where((F.col("x.e") < F.col("y.e")) & like).select(F.col("x.e").alias("ea"), F.col("y.e").alias("eb")).distinct()
-    far = sum((F.bit_count(F.col("xa")[i].bitwiseXOR(F.col("xb")[i])) for i in range(-(-bits // 63))), F.lit(0))
+    words = -(-many // 15)
+    same = sum((equal_nibbles(F.col("xa")[i], F.col("xb")[i]) for i in range(words)), F.lit(many - 15 * words))
     size = lambda side: signed.select(F.col("e").alias(f"e{side}"), F.col("u").alias(f"u{side}"), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"x{side}"))
     close = checkpoint(
         candidates.join(size("a"), "ea")
         .join(size("b"), "eb")
-        .where((F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & (far <= most(bits, slack)))
+        .where((F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & (same >= int(many * agreeing - slack * spread(many, agreeing))))
         .select("ua", "ub")
         .distinct()
     )

@@ -43,13 +43,14 @@ def by_effective_date(items: DataFrame) -> DataFrame:
     return items.orderBy(F.desc(text_or_empty(F.col("effective_date"))), "ord")
 
 
-def _truncate(name: str, limit: int) -> str:
-    data = name.encode()
-    if len(data) <= limit:
-        return name
+def _numbered(name: str, number: int, limit: int) -> str:
+    """A name with a number after its stem, which gives way so that the number always stays."""
     stem, end = _split(name)
-    kept = stem.encode()[: max(1, limit - len(end.encode()))].decode("utf-8", "ignore").rstrip(" ._-")
-    return (kept or "attachment") + end
+    tail = f"-{number}{end}"
+    room = max(1, limit - len(tail.encode()))
+    if len(stem.encode()) > room:
+        stem = stem.encode()[:room].decode("utf-8", "ignore").rstrip(" ._-") or "attachment"
+    return stem + tail
 
 
 def _split(name: str) -> tuple[str, str]:
@@ -57,21 +58,27 @@ def _split(name: str) -> tuple[str, str]:
     return (name[:at], name[at:]) if 0 < at < len(name) - 1 else (name, "")
 
 
+class _Names:
+    """Names that are taken within a parent, and from which number on a name is tried again."""
+
+    def __init__(self) -> None:
+        self.used: set[str] = set()
+        self.next: dict[str, int] = {}
+
+    def take(self, name: str, limit: int) -> str:
+        candidate, number = name, self.next.get(name, 2)
+        while candidate in self.used:
+            candidate = _numbered(name, number, limit)
+            number += 1
+        self.next[name] = number
+        self.used.add(candidate)
+        return candidate
+
+
 def fold_unique(names: list[str], limit: int) -> list[str]:
     """Each name, or its stem with the least number from 2 on that is free, in order."""
-    used: set[str] = set()
-    tried: dict[str, int] = {}
-    out = []
-    for name in names:
-        stem, end = _split(name)
-        candidate, number = name, tried.get(name, 2)
-        while candidate in used:
-            candidate = _truncate(f"{stem}-{number}{end}", limit)
-            number += 1
-        tried[name] = number if candidate != name else 2
-        used.add(candidate)
-        out.append(candidate)
-    return out
+    taken = _Names()
+    return [taken.take(name, limit) for name in names]
 
 
 def unique_names(rows: DataFrame, parent: str, order: str, name: str, limit: int = 160) -> DataFrame:
@@ -83,20 +90,13 @@ def unique_names(rows: DataFrame, parent: str, order: str, name: str, limit: int
     kinds = dict(rows.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, used, tried = object(), set(), {}
+        current, taken = object(), _Names()
         for batch in batches:
             out = []
             for owner, value in zip(batch[parent], batch[name], strict=True):
                 if owner != current:
-                    current, used, tried = owner, set(), {}
-                stem, end = _split(value)
-                candidate, number = value, tried.get(value, 2)
-                while candidate in used:
-                    candidate = _truncate(f"{stem}-{number}{end}", limit)
-                    number += 1
-                tried[value] = number
-                used.add(candidate)
-                out.append(candidate)
+                    current, taken = owner, _Names()
+                out.append(taken.take(value, limit))
             yield batch.assign(unique_name=out)
 
     sorted_rows = rows.select(parent, order, text_or_empty(F.col(name)).alias(name)).repartition(parent).sortWithinPartitions(parent, order, name)

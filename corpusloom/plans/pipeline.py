@@ -155,6 +155,7 @@ def prune(spark: SparkSession, root: str, dry_run: bool = False) -> dict[str, in
     named = integrity.referenced_paths((documents, "raw_path"), (documents, "text_path"), (attachments, "raw_path"), (attachments, "text_path"))
     files = load_files(spark, root)
     lost = checkpoint(integrity.orphans(files, named).select("rel_path"))
+    counted = {"scanned": files.count(), "removed": lost.count()}
     if not dry_run:
         for row in lost.orderBy(F.desc("rel_path")).toLocalIterator():
             target = os.path.join(root, row["rel_path"])
@@ -162,7 +163,7 @@ def prune(spark: SparkSession, root: str, dry_run: bool = False) -> dict[str, in
             folder = os.path.dirname(target)
             if not os.listdir(folder):
                 os.rmdir(folder)
-    return {"scanned": files.count() + (0 if dry_run else lost.count()), "removed": lost.count()}
+    return counted
 
 
 def drop(spark: SparkSession, root: str, dry_run: bool = False, **policy: bool) -> dict[str, int]:

@@ -88,7 +88,7 @@ class Signer:
         return (left ^ (left >> np.uint64(32))).reshape(len(prints), -1)
 
 
-def shape(threshold: float, miss: float = 1e-3, most: int = 128) -> tuple[int, int]:
+def shape(threshold: float, miss: float = 2e-4, most: int = 128) -> tuple[int, int]:
     """(segments, width): the longest segments, and so the rarest signatures, with which two texts exactly
     at the threshold are missed no more often than ``miss`` and a text has at most ``most`` signatures."""
     for width in range(12, 1, -1):
@@ -122,7 +122,7 @@ def equal_nibbles(a: Column, b: Column) -> Column:
     return 15 - F.bit_count(groups.bitwiseAND(F.lit(0x111111111111111)))
 
 
-def shape(threshold: float, miss: float = 1e-3, most: int = 128) -> tuple[int, int]:
+def shape(threshold: float, miss: float = 2e-4, most: int = 128) -> tuple[int, int]:
     """(segments, width): the longest segments, and so the rarest signatures, with which two texts exactly
     at the threshold are missed no more often than ``miss`` and a text has at most ``most`` signatures."""
     for width in range(12, 1, -1):
@@ -178,7 +178,7 @@ def classes(docs: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFra
     return rows, rows.groupBy("a", "b").agg(F.min("member").alias("rep"), F.count("*").alias("copies"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, miss: float = 1e-3, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingle: int = 5, threshold: float = 0.8, miss: float = 2e-4, slack: float = 4.5, max_broadcast: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Links (``a``, ``b``, ``similarity``) of different texts, and members (``member``, ``rep``, ``comparable``).
 
     Similarity is the number of distinct word sequences of length ``shingle`` that two texts share over
@@ -189,10 +189,10 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
     read. No rows: no links.
 
     Signatures (see ``Signer``) are equality-joined; a pair exactly at the threshold is missed with the
-    probability ``miss``, more similar ones far less often (texts that agree nearly wholly with 1 in
-    100,000, where their 64-bit stand-ins coincide); a candidate goes on if the sketches of the whole
-    fingerprints, four bits a minimum, agree as often as the threshold lets expect, less ``slack`` standard
-    deviations; then the exact sets decide. Copies' and candidates' keys are broadcast if there are at
+    probability ``miss``, more similar ones far less often; texts whose 64-bit stand-ins coincide are
+    candidates without a shared signature, told apart by their full numbers. A candidate goes on if the
+    sketches of the whole fingerprints, four bits a minimum, agree as often as the threshold lets expect,
+    less ``slack`` standard deviations; then the exact sets decide. Copies' and candidates' keys are broadcast if there are at
     most ``max_broadcast``, else joined. A signature that very many texts share is a skewed key of a
     plain sort-merge join, which adaptive execution splits; no bucket is gathered anywhere.
     """
@@ -239,13 +239,16 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
     # Both sides are one plan, so their exchange is made once. Most chance pairs end here, unmoved.
     like = F.bit_count(F.shiftrightunsigned(F.col("x.e").bitwiseXOR(F.col("y.e")), 64 - SHORT)) <= int(SHORT * differing + (slack - 0.5) * spread(SHORT, differing)) + 1
     candidates = entries.alias("x").join(entries.alias("y").hint("merge"), F.col("x.s") == F.col("y.s")).where((F.col("x.e") < F.col("y.e")) & like).select(F.col("x.e").alias("ea"), F.col("y.e").alias("eb")).distinct()
+    # Texts with one stand-in cannot meet as two numbers above; they are candidates as they are.
+    alike = signed.groupBy("e").agg(F.count("*").alias("texts")).where("texts > 1").select(F.col("e").alias("ea"), F.col("e").alias("eb"))
     words = -(-many // 15)
     same = sum((equal_nibbles(F.col("xa")[i], F.col("xb")[i]) for i in range(words)), F.lit(many - 15 * words))
     size = lambda side: signed.select(F.col("e").alias(f"e{side}"), F.col("u").alias(f"u{side}"), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"x{side}"))
     close = checkpoint(
-        candidates.join(size("a"), "ea")
+        candidates.unionByName(alike)
+        .join(size("a"), "ea")
         .join(size("b"), "eb")
-        .where((F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & (same >= int(many * agreeing - slack * spread(many, agreeing))))
+        .where(((F.col("ea") < F.col("eb")) | (F.col("ua") < F.col("ub"))) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & (same >= int(many * agreeing - slack * spread(many, agreeing))))
         .select("ua", "ub")
         .distinct()
     )

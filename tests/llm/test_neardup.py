@@ -3,8 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from corpusloom.llm.neardup import WORD, components, expand_pairs, near_duplicate_classes, near_duplicates
+from corpusloom.llm.neardup import WORD, components, expand_pairs, near_duplicate_classes, near_duplicates, shape
 
 SCHEMA = "id string, body string, member string, s long, u string"
 
@@ -60,6 +61,23 @@ def test_without_broadcast(spark):
     assert {tuple(r) for r in expand_pairs(links, members).collect()} == brute(rows, 3, 0.6)
 
 
+def test_misses_at_the_threshold_are_rare():
+    segments, width = shape(0.6)
+    assert (1 - 0.6**width - width * 0.4 * 0.6 ** (width - 1)) ** segments <= 2e-4
+
+
+def test_different_texts_with_one_stand_in(spark):
+    rng = random.Random(2)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(5000))
+    other = text + " extra"
+    number = lambda key, body: F.xxhash64(key, F.xxhash64(F.lit(body))).bitwiseAND(F.lit(0xFFFF))
+    wanted = spark.range(1).select(number(F.lit("a"), text).alias("n")).first()["n"]
+    keys = spark.range(1_000_000).select(F.concat(F.lit("b"), F.col("id").cast("string")).alias("key"))
+    key = keys.where(number(F.col("key"), other) == wanted).first()["key"]
+    links, _ = near_duplicates(frame(spark, [("a", text), (key, other), ("c", "x y z")]), shingle=3, threshold=0.6)
+    assert [(r["a"], r["b"]) for r in links.collect()] == [("a", key)]
+
+
 def test_empty(spark):
     links, members = near_duplicates(frame(spark, []))
     assert links.count() == 0 and expand_pairs(links, members).count() == 0

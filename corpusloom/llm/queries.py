@@ -60,9 +60,9 @@ def _marked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The kinds of markup in documents and attachment texts."""
-    found = analysed(_marked_records(spark, sf_dir), {}, with_text=False)
-    return found.select("record_kind", "record_key", F.explode("markup").alias("markup")).distinct()
+    """The kinds of markup in documents and attachment texts, of the operator that also scans and cleans them."""
+    texts = _marked_records(spark, sf_dir)
+    return analysed(texts, fit(texts)).select("record_kind", "record_key", F.explode("markup").alias("markup")).distinct()
 
 
 def p6_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:

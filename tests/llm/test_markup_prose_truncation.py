@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from corpusloom.llm import queries
 from corpusloom.llm.markup import KINDS, analysed, best_region, clean, content_region, fit, kinds, label_lines, learn, records, tokens
 from corpusloom.llm.prose import is_sentence, not_prose, sentence_share, text_statistics
 from corpusloom.llm.truncation import truncated, truncation_rates, without_mark
@@ -72,6 +73,21 @@ def test_analysed(spark):
     assert analysed(none, fit(none)).count() == 0
 
 
+def test_p6_found_comes_from_the_fitted_scan(spark, sf_dir, monkeypatch):
+    runs = []
+
+    def spy(texts, weights, **options):
+        runs.append((weights, analysed(texts, weights, **options)))
+        return runs[-1][1]
+
+    monkeypatch.setattr(queries, "analysed", spy)
+    found = {tuple(r) for r in queries.p6_found(spark, sf_dir).collect()}
+    [(weights, scanned)] = runs
+    assert weights["word"] > 0 and {"region_start", "region_end", "clean_text"} <= set(scanned.columns)
+    every = queries._marked_records(spark, sf_dir).collect()
+    assert found == {(r["record_kind"], r["record_key"], k) for r in every for k in kinds(r["text"] or "")}
+
+
 PROSE = ["위원회는 보고서를 제출하여야 한다.", "① 위원회는 보고서를 제출하여야 한다", "The board shall send the report to the client.", "위원회는 보고서를 제출하여야 � 한다."]
 JUNK = ["• 보고서 사본 1부\n• 증명서", "| a | b |\n| 1 | 2 |", "성명: ____", "∑ m(i) ≤ 86 × X", "", None, "   ", "À§Å¹ ÀÎµµ¹°ÀÇ ±â·Ï¿¡ µå´Â ºñ¿ëÀº", "제1조 목적 ········ 1"]
 

@@ -189,9 +189,8 @@ def page_links(spark, sf_dir):
 
 
 def html_to_markdown(spark, sf_dir):
-    """HTM-01, HTM-02: Markdown of bodies that hold tags."""
-    docs = table(spark, sf_dir, "rule_docs").where(F.col("body").rlike(r"(?i)<(?:p|div|br|li|table|h\d)\b"))
-    return docs.select("id", html.html_to_markdown("body").alias("markdown")).distinct()
+    """HTM-01, HTM-02: Markdown of all bodies."""
+    return table(spark, sf_dir, "rule_docs").select("id", html.html_to_markdown("body").alias("markdown")).distinct()
 
 
 def orphan_texts(spark, sf_dir):

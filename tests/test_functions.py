@@ -123,3 +123,16 @@ def test_policy(spark):
     columns = (F.lit(""), F.col("v"), F.lit(""), F.lit(""))
     assert dict(zip(cases, many(spark, list(cases), policy.is_excluded(*columns)), strict=True)) == cases
     assert many(spark, [" 전문 ", "전문가"], policy.is_full_text(F.col("v"), F.lit(None).cast("string"), F.lit(""), F.lit(""))) == [True, False]
+
+
+def test_every_body_becomes_markdown(spark, tmp_path):
+    from corpusloom.plans import reference
+
+    bodies = {
+        "tags": ("<p>a</p><li>b</li>", "a\n\n- b"), "bold": ("<strong>a</strong> b", "**a**b"), "row": ("<tr>a</tr><tr>b</tr>", "a\n\nb"), "link": ("<a href='x'>a</a>", "a"), "entity": ("R&amp;D &lt;x&gt;", "R&D <x>"),
+        "plain": (" a \n\n b ", "a b"), "empty": ("", ""), "null": (None, ""),
+    }
+    rows = [(i, body) for i, (body, _) in bodies.items()] + [("plain", " a \n\n b ")]
+    spark.createDataFrame(rows, "id string, body string").write.parquet(f"{tmp_path}/rule_docs.parquet")
+    found = [tuple(r) for r in reference.html_to_markdown(spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted((i, markdown) for i, (_, markdown) in bodies.items())

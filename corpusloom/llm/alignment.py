@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.cluster import checkpoint
+from corpusloom.cluster import broadcast_if_small, checkpoint
 
 #: Korean particles and verb endings after a stem, English function words, number words.
 _PARTICLE = re.compile(r"(?<=[가-힣]{2})(?:으로부터|에게서|이라도|에서는|으로|에게|에서|까지|부터|이란|이라|에는|에도|보다|처럼|마다|란|을|를|이|가|은|는|의|에|와|과|로|도|만)$")
@@ -95,10 +94,10 @@ def with_terms(sentences: DataFrame) -> DataFrame:
     return sentences.mapInArrow(cut, "pair string, side string, no int, terms array<string>")
 
 
-def associations(ko: DataFrame, en: DataFrame, unit: list[str], keep: int = 6, least: float = 0.08) -> DataFrame:
+def associations(ko: DataFrame, en: DataFrame, unit: list[str], least: float = 0.08) -> DataFrame:
     """(``k``, ``e``, ``phi``): the Korean and English terms that share paired units, by their correlation.
 
-    ``ko`` and ``en`` hold distinct (unit, term). Of each Korean term the ``keep`` best partners are kept.
+    ``ko`` and ``en`` hold distinct (unit, term). All partners that share more units than chance are kept.
     """
     total = ko.select(*unit).distinct().count()
     if not total:
@@ -109,47 +108,46 @@ def associations(ko: DataFrame, en: DataFrame, unit: list[str], keep: int = 6, l
     n = F.lit(float(total))
     spread = F.sqrt(F.col("nk") * F.col("ne") * (n - F.col("nk") + 1) * (n - F.col("ne") + 1))
     scored = both.where("n > 1").join(nk, "k").join(ne, "e").withColumn("phi", (n * F.col("n") - F.col("nk") * F.col("ne")) / spread)
-    sure = scored.where(F.col("phi") > F.greatest(F.lit(least), 3.0 / F.sqrt(n)))
-    best = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("phi"), "e"))
-    return sure.withColumn("rank", best).where(F.col("rank") <= keep).select("k", "e", "phi")
+    return scored.where(F.col("phi") > F.greatest(F.lit(least), 3.0 / F.sqrt(n))).select("k", "e", "phi")
 
 
-def vectors(terms: DataFrame, concepts: dict[str, list[tuple[str, float]]], weights: dict[str, float]) -> DataFrame:
-    """(``pair``, ``side``, ``no``, ``v``, ``numbers``): sentences over concepts, an English term each, as maps.
+def projection(counts: DataFrame, related: DataFrame, many: int) -> DataFrame:
+    """(``side``, ``term``, ``dim``, ``value``): what each term adds to which concepts, an English term each.
 
-    An English sentence has its terms' weights; a Korean one the similarities of its terms to the
-    concepts, scaled to one a term. Numbers are concepts of both languages. Terms that the sample does
-    not know weigh as much as its rarest.
+    ``counts`` has the number ``n`` of sentences of every (``side``, ``term``) whose term is a concept,
+    of ``many`` in all: English terms, and numbers of both languages. These add their weight to
+    themselves; Korean words add the similarities of ``related``, scaled to one a term, by weight.
     """
-    rare = max(weights.values(), default=5.0)
+    total = counts.groupBy("term").agg(F.sum("n").alias("n"))
+    weights = total.select("term", F.greatest(F.lit(0.3), F.log(F.lit(float(many)) / F.col("n"))).alias("w"))
+    own = counts.join(weights, "term").select("side", "term", F.col("term").alias("dim"), F.col("w").alias("value"))
+    norms = related.groupBy("k").agg(F.sqrt(F.sum(F.col("phi") * F.col("phi"))).alias("norm"))
+    learned = related.join(norms, "k").join(weights.withColumnRenamed("term", "e"), "e")
+    return own.unionByName(learned.select(F.lit("ko").alias("side"), F.col("k").alias("term"), F.col("e").alias("dim"), (F.col("phi") / F.col("norm") * F.col("w")).alias("value")))
 
-    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out, numbers = [], []
-            for side, found in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                vector: dict[str, float] = {}
-                for term in found:
-                    if side == "en" or term[0] == "#":
-                        vector[term] = vector.get(term, 0.0) + weights.get(term, rare)
-                    else:
-                        for concept, similarity in concepts.get(term, ()):
-                            vector[concept] = vector.get(concept, 0.0) + similarity * weights.get(concept, rare)
-                out.append(list(vector.items()))
-                numbers.append([t for t in found if t[0] == "#"])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(out, pa.map_(pa.string(), pa.float64())), pa.array(numbers, pa.list_(pa.string()))], names=["pair", "side", "no", "v", "numbers"]
-            )
-
-    return terms.select("pair", "side", "no", "terms").mapInArrow(project, "pair string, side string, no int, v map<string,double>, numbers array<string>")
+
+def vectors(terms: DataFrame, concepts: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
+    """(``pair``, ``side``, ``no``, ``v``, ``numbers``): sentences over the concepts of ``projection``, as maps.
+
+    Sentences none of whose terms has a concept are left out. The concepts are broadcast if they have at
+    most ``max_broadcast`` rows, else joined.
+    """
+    known, _ = broadcast_if_small(checkpoint(concepts), max_broadcast)
+    numbers = F.filter("terms", lambda t: t.startswith("#"))
+    flat = terms.select("pair", "side", "no", F.explode("terms").alias("term")).join(known, ["side", "term"])
+    summed = flat.repartition("pair", "side", "no").groupBy("pair", "side", "no", "dim").agg(F.sum("value").alias("value"))
+    entries = F.sort_array(F.collect_list(F.struct("dim", F.round("value", 9).alias("value"))))
+    maps = summed.groupBy("pair", "side", "no").agg(F.map_from_entries(entries).alias("v"))
+    return maps.join(terms.select("pair", "side", "no", numbers.alias("numbers")), ["pair", "side", "no"])
 
 
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.map_keys(a), F.lit(0.0), lambda total, d: total + F.try_element_at(a, d) * F.coalesce(F.try_element_at(b, d), F.lit(0.0)))
 
 
-def span_scores(vecs: DataFrame, least: float, silent: float = 0.5, conflict: float = 0.75) -> DataFrame:
+def span_scores(vecs: DataFrame, least: float, silent: float = 0.5, conflict: float = 0.75, merge: bool = True) -> DataFrame:
     """(``pair``, ``i0``, ``i1``, ``j0``, ``j1``, ``cosine``, ``score``) of spans: a Korean and an English
-    sentence, or one of them with two neighbours of the other language merged.
+    sentence, or, with ``merge``, one of them with two neighbours of the other language merged.
 
     The score is the geometric mean of the cosine and the share of the lesser side that the other
     contains, so a sentence that leaves something out still fits. Spans below ``least`` are left out, or
@@ -159,7 +157,11 @@ def span_scores(vecs: DataFrame, least: float, silent: float = 0.5, conflict: fl
     order = Window.partitionBy("pair", "side").orderBy("no")
     next_v = F.when(F.lead("no").over(order) == F.col("no") + 1, F.lead("v").over(order))
     both = F.when(F.lead("no").over(order) == F.col("no") + 1, F.array_union("numbers", F.lead("numbers").over(order)))
-    sized = vecs.withColumn("sq", _dot(F.col("v"), F.col("v"))).withColumn("v2", next_v).withColumn("numbers2", both)
+    sized = vecs.withColumn("sq", _dot(F.col("v"), F.col("v")))
+    if merge:
+        sized = sized.withColumn("v2", next_v).withColumn("numbers2", both)
+    else:
+        sized = sized.withColumn("v2", F.lit(None).cast("map<string,double>")).withColumn("numbers2", F.lit(None).cast("array<string>"))
     with_next = checkpoint(sized.where("sq > 0").withColumn("cross", F.when(F.col("v2").isNotNull(), F.col("sq") + _dot(F.col("v2"), F.col("v2")) + 2 * _dot(F.col("v"), F.col("v2")))).drop("v2"))
     # Sparse cosines: sentences of a pair meet where they share a concept.
     side = lambda name, no, w: with_next.where(F.col("side") == name).select("pair", F.col("no").alias(no), F.explode("v").alias("dim", w))
@@ -169,7 +171,8 @@ def span_scores(vecs: DataFrame, least: float, silent: float = 0.5, conflict: fl
     # The neighbours' products: of j + 1 with the same i, of i + 1 with the same j.
     right = Window.partitionBy("pair", "i").orderBy("j")
     below = Window.partitionBy("pair", "j").orderBy("i")
-    near = near.withColumn("dot_j", F.when(F.lead("j").over(right) == F.col("j") + 1, F.lead("dot").over(right))).withColumn("dot_i", F.when(F.lead("i").over(below) == F.col("i") + 1, F.lead("dot").over(below)))
+    if merge:
+        near = near.withColumn("dot_j", F.when(F.lead("j").over(right) == F.col("j") + 1, F.lead("dot").over(right))).withColumn("dot_i", F.when(F.lead("i").over(below) == F.col("i") + 1, F.lead("dot").over(below)))
 
     def span(i1: Column, j1: Column, dot: Column, a: Column, b: Column, m: Column, n: Column) -> Column:
         cosine = dot / F.sqrt(a * b)
@@ -180,6 +183,8 @@ def span_scores(vecs: DataFrame, least: float, silent: float = 0.5, conflict: fl
 
     k, e, i, j = F.col("k"), F.col("e"), F.col("i"), F.col("j")
     single = span(i, j, F.col("dot"), k["sq"], e["sq"], k["numbers"], e["numbers"])
+    if not merge:
+        return near.select("pair", single.alias("s")).where("s is not null").select("pair", "s.*")
     wide = F.when(F.col("dot_j").isNotNull(), span(i, j + 1, F.col("dot") + F.col("dot_j"), k["sq"], e["cross"], k["numbers"], e["numbers2"]))
     tall = F.when(F.col("dot_i").isNotNull(), span(i + 1, j, F.col("dot") + F.col("dot_i"), k["cross"], e["sq"], k["numbers2"], e["numbers"]))
     return near.select("pair", F.explode(F.array_compact(F.array(single, wide, tall))).alias("s")).select("pair", "s.*")
@@ -222,52 +227,34 @@ def mutual_best(spans: DataFrame, rounds: int = 3, discount: float = 0.03, conta
     return chosen
 
 
-def align(sentences: DataFrame, pairs: int = 1_000, least: float = 0.4, most: int = 500_000) -> DataFrame:
+def align(sentences: DataFrame, least: float = 0.4) -> DataFrame:
     """(``pair``, ``i0``, ``i1``, ``j0``, ``j1``, ``cosine``, ``score``): aligned spans of Korean and English sentences.
 
     ``sentences`` has ``pair`` (what the two documents share), ``side`` (``ko`` or ``en``), ``no`` and
     ``sentence``; other columns are not read. Rows with a null among these, sentences without terms and
     documents without a twin are not aligned. Repeated rows are one. No rows: no spans.
 
-    The concepts are learned from at most ``pairs`` documents, those with the least digests of their
-    names: first from terms that share paired documents, then from terms that share the sentences that
-    these concepts align with certainty. Everything else is done for all documents. A sample whose
-    vocabulary has more than ``most`` terms or relations is an error.
+    The concepts are learned from all documents: first from terms that share paired documents, then
+    from terms that share the sentences that these concepts align with certainty. Counts, relations and
+    concepts are tables, whatever the size of the vocabulary.
     """
     known = sentences.where(F.col("pair").isNotNull() & F.col("no").isNotNull() & F.col("sentence").isNotNull() & F.col("side").isin("ko", "en"))
     once = known.select("pair", "side", F.col("no").cast("int").alias("no"), "sentence").dropDuplicates(["pair", "side", "no"])
-    terms = checkpoint(with_terms(once).where(F.size("terms") > 0))
-    chosen = F.broadcast(terms.groupBy("pair").agg(F.countDistinct("side").alias("sides")).where("sides = 2").orderBy(F.xxhash64("pair"), "pair").limit(pairs).select("pair"))
-    sample = checkpoint(terms.join(chosen, "pair"))
-    many = sample.where("side = 'en'").count() + 1
-    flat = sample.select("pair", "side", "no", F.explode("terms").alias("term"))
-    counts = flat.where((F.col("side") == "en") | F.col("term").startswith("#")).groupBy("term").agg(F.count("*").alias("n"))
-    # What comes to the driver is no more than the vocabulary of the sample, and checked.
-    weights = {r["term"]: max(0.3, math.log(many / r["n"])) for r in _bounded(counts, most)}
+    every = checkpoint(with_terms(once).where(F.size("terms") > 0))
+    twins = every.groupBy("pair").agg(F.countDistinct("side").alias("sides")).where("sides = 2").select("pair")
+    terms = checkpoint(every.join(twins, "pair"))
+    many = terms.where("side = 'en'").count() + 1
+    flat = terms.select("pair", "side", "no", F.explode("terms").alias("term"))
+    counts = checkpoint(flat.where((F.col("side") == "en") | F.col("term").startswith("#")).groupBy("side", "term").agg(F.count("*").alias("n")))
     words = flat.where(~F.col("term").startswith("#"))
     unit = lambda s: words.where(F.col("side") == s).select("pair", "term").distinct()
-    rough = _concepts(associations(unit("ko"), unit("en"), ["pair"]), most)
-    sure = mutual_best(span_scores(vectors(sample, rough, weights), 0.45).where("i0 = i1 and j0 = j1"), rounds=1)
+    rough = checkpoint(associations(unit("ko"), unit("en"), ["pair"]))
+    sure = mutual_best(span_scores(vectors(terms, projection(counts, rough, many)), 0.45, merge=False), rounds=1)
     links = checkpoint(sure.select("pair", F.col("i0").alias("i"), F.col("j0").alias("j")))
     ko = words.where("side = 'ko'").select("pair", F.col("no").alias("i"), "term").join(links, ["pair", "i"]).select("pair", "i", "term")
     en = words.where("side = 'en'").select("pair", F.col("no").alias("j"), "term").join(links, ["pair", "j"]).select("pair", "i", "term")
-    fine = _concepts(associations(ko, en, ["pair", "i"], keep=8, least=0.05), most)
-    return mutual_best(span_scores(vectors(terms, fine, weights), least))
-
-
-def _bounded(rows: DataFrame, most: int) -> list:
-    found = rows.limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} rows of the sample's vocabulary; take fewer pairs")
-    return found
-
-
-def _concepts(related: DataFrame, most: int) -> dict[str, list[tuple[str, float]]]:
-    """Each Korean term's concepts with their similarities, scaled to one."""
-    out: dict[str, list[tuple[str, float]]] = {}
-    for r in _bounded(related, most):
-        out.setdefault(r["k"], []).append((r["e"], r["phi"]))
-    return {k: [(e, phi / math.sqrt(sum(p * p for _, p in found))) for e, phi in found] for k, found in out.items()}
+    fine = checkpoint(associations(ko, en, ["pair", "i"], least=0.05))
+    return mutual_best(span_scores(vectors(terms, projection(counts, fine, many)), least))
 
 
 def twin_sentences(sentences: DataFrame, documents: DataFrame | None = None) -> DataFrame:

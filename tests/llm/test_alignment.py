@@ -1,6 +1,9 @@
 """Sentence alignment on an invented language pair with known partners."""
 
 import random
+import re
+
+from pyspark.sql import functions as F
 
 from corpusloom.llm.alignment import align, english_terms, korean_terms, sentence_pairs, twin_sentences
 
@@ -57,5 +60,17 @@ def test_known_partners(spark):
     assert len(found & truth) >= 0.95 * len(truth) and len(found & truth) >= 0.97 * len(found)
 
 
+def test_terms_of_every_pair_are_learned(spark):
+    # Words that only the documents with the greatest digests hold, and no numbers to align by.
+    names = [r["d"] for r in spark.range(1060).select(F.concat(F.lit("d"), "id").alias("d")).orderBy(F.xxhash64("d"), "d").collect()]
+    rows, truth = corpus(2)
+    as_last = lambda d: names[1000 + int(re.sub(r"\D", "", d))] + ("-en" if d.endswith("-en") else "")
+    rows = [(as_last(d), no, re.sub(r" ?[0-9]+(?:건| times)", "", text)) for d, no, text in rows]
+    truth = {(as_last(k), i, as_last(e), j) for k, i, e, j in truth}
+    rows += [row for d in names[:1000] for row in ((d, 1, "회원은 자료를 낸다."), (f"{d}-en", 1, "The member files records."))]
+    found = {r for r in run(spark, rows) if r[0] in names[1000:]}
+    assert len(found & truth) >= 0.9 * len(truth) and len(found & truth) >= 0.9 * len(found)
+
+
 def test_empty(spark):
     assert run(spark, []) == set() and run(spark, [("a", 1, "강"), ("b-en", 1, "x")]) == set()

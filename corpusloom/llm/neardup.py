@@ -164,7 +164,8 @@ def _shingled(batches: Iterator[pa.RecordBatch], signer: Signer, rows: int = 512
 
 
 def classes(docs: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFrame, DataFrame]:
-    """Every distinct key with its text's digest and whether that has a shingle, and the digests' representatives.
+    """Every distinct key with its text's digest, whether that has a shingle and how many rows it has, and the
+    digests' representatives.
 
     Equal texts are one class, named by its least key. Only digests move.
     """
@@ -173,7 +174,8 @@ def classes(docs: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFra
     rows = (
         docs.where(F.col(key).isNotNull() & body.isNotNull())
         .select(F.col(key).alias("member"), F.xxhash64(body).alias("a"), F.xxhash64(F.lit(7), body, F.length(body)).alias("b"), body.rlike(f"{word}(?:{gap}{word}){{{shingle - 1}}}").alias("comparable"))
-        .distinct()
+        .groupBy("member", "a", "b", "comparable")
+        .agg(F.count("*").alias("times"))
     )
     return rows, rows.groupBy("a", "b").agg(F.min("member").alias("rep"), F.count("*").alias("copies"))
 
@@ -199,11 +201,14 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
     segments, width = shape(threshold, miss)
     rows, groups = classes(docs, key, text, shingle)
     members = rows.join(groups, ["a", "b"]).select("member", "rep", "comparable")
-    # Copies are removed by a join that leaves the texts where they are, unless very many are copies.
-    copies, _ = broadcast_if_small(rows.join(groups.where("copies > 1"), ["a", "b"]).where("member <> rep").select(F.col("member").alias("k"), "a", "b"), max_broadcast)
+    # Copies are removed by a join that leaves the texts where they are, unless very many are copies; of
+    # representatives only those with several rows move, to become one.
+    spare = rows.join(groups.select("a", "b", "rep", "copies"), ["a", "b"]).where("member <> rep or times > 1").select(F.col("member").alias("k"), "a", "b", F.expr("member = rep").alias("repeated"))
+    spare, _ = broadcast_if_small(spare, max_broadcast)
     known = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"))
     keyed = known.withColumn("a", F.xxhash64("t")).withColumn("b", F.xxhash64(F.lit(7), F.col("t"), F.length("t")))
-    reps = keyed.join(copies, ["k", "a", "b"], "left_anti").select("k", "a", "t")
+    repeated = keyed.join(spare.where("repeated"), ["k", "a", "b"], "left_semi").dropDuplicates(["k", "a", "b"])
+    reps = keyed.join(spare, ["k", "a", "b"], "left_anti").unionByName(repeated).select("k", "a", "t")
 
     reps = reps.withColumn("u", F.xxhash64("k", "a"))  # joined by a number, rows stay small
 
@@ -295,7 +300,7 @@ def near_duplicate_classes(docs: DataFrame, key: str = "id", **options) -> DataF
     Keys whose texts resemble no other are classes of their own. See ``near_duplicates`` for the rest.
     """
     links, members = near_duplicates(docs, key, **options)
-    links = checkpoint(links)
+    links, members = checkpoint(links.select("a", "b").distinct()), members.select("member", "rep").distinct()
     ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
     labels = components(links).select(F.col("node").alias("rep"), "class_id").join(ends, "rep")
     return (

@@ -101,6 +101,18 @@ def test_classes(spark):
     assert found["empty1"]["links"] == 0
 
 
+@pytest.mark.parametrize("max_broadcast", [1_000_000, 0])
+def test_repeated_rows_add_no_links(spark, max_broadcast):
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    a, b, c = " ".join(words), " ".join([*words, "b"]), " ".join([*words, "c"])
+    rows = [("a", a)] * 7 + [("b", b)] * 3 + [("c", c), ("copy", a), ("copy", a), ("other", "x y z")]
+    links, _ = near_duplicates(frame(spark, rows), shingle=3, threshold=0.6, max_broadcast=max_broadcast)
+    assert sorted((r["a"], r["b"]) for r in links.collect()) == [("a", "b"), ("a", "c"), ("b", "c")]
+    found = near_duplicate_classes(frame(spark, rows), shingle=3, threshold=0.6, max_broadcast=max_broadcast).collect()
+    assert {r["id"]: (r["class_id"], r["links"]) for r in found} == {"a": ("a", 2), "b": ("a", 2), "c": ("a", 2), "copy": ("a", 2), "other": ("other", 0)}
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(f"{i:03}", f"{i + 1:03}") for i in range(40)] + [("x", "y")], "a string, b string")
     labels = {r["node"]: r["class_id"] for r in components(links).collect()}

@@ -26,8 +26,8 @@ def token_budget(docs: DataFrame, slices: dict[str, Column], key: str = "id", te
     """``documents``, ``characters`` and ``tokens`` for every combination of the ``slices`` columns.
 
     Every key counts once: of its rows the one loaded last (null is earliest), of several loaded at once
-    the greatest by slices and text digest. Rows with a null key are documents of their own kind only if
-    they differ; identical ones are one. Null texts have no tokens. Columns other than those named are
+    the greatest by slices and text digest. Rows with a null key are documents of their own if they differ
+    in slices or text; others are one. Null texts have no tokens. Columns other than those named are
     not read, so clashing names do no harm. No rows: no slices.
 
     Texts move once, to be deduplicated by a 128-bit digest before they are tokenized, and equal texts
@@ -38,7 +38,9 @@ def token_budget(docs: DataFrame, slices: dict[str, Column], key: str = "id", te
     body = F.coalesce(F.col(text), F.lit(""))
     digest = F.struct(F.xxhash64(body).alias("a"), F.xxhash64(F.lit(7), body, F.length(body)).alias("b"))
     rows = docs.select(F.col(key).alias("key"), F.col(order).alias("at"), *[slices[n].alias(n) for n in names], digest.alias("digest"), body.alias("text"))
-    once = rows.groupBy("key").agg(F.max(F.struct("at", *names, "digest")).alias("r"))
+    # Null keys are told apart by what they hold.
+    own = F.when(F.col("key").isNull(), F.struct(*names, "digest"))
+    once = rows.groupBy("key", own.alias("own")).agg(F.max(F.struct("at", *names, "digest")).alias("r"))
     members = once.groupBy(*[F.col(f"r.{n}").alias(n) for n in names], F.col("r.digest.a").alias("a"), F.col("r.digest.b").alias("b")).agg(F.count("*").alias("n"))
     texts = rows.select(F.col("digest.a").alias("a"), F.col("digest.b").alias("b"), "text").dropDuplicates(["a", "b"])
     counts = texts.select("a", "b", F.length("text").alias("characters"), token_count(F.col("text"), folder, vocabulary).alias("tokens"))

@@ -36,6 +36,13 @@ def test_budget_counts_every_id_once(spark):
     assert token_budget(docs.limit(0), {"src": F.col("src")}).count() == 0
 
 
+def test_budget_counts_null_ids_apart(spark):
+    rows = [(None, 1, "s", "a text"), (None, 2, "s", "a text"), (None, 1, "s", "another text here"), (None, 1, "t", "a text"), (None, None, "t", None), ("1", 1, "s", "a text")]
+    docs = spark.createDataFrame(rows, "id string, loaded_at int, src string, body string")
+    found = {r["src"]: (r["documents"], r["characters"], r["tokens"]) for r in token_budget(docs, {"src": F.col("src")}).collect()}
+    assert found == {"s": (3, 29, 2 * count("a text") + count("another text here")), "t": (2, 6, count("a text"))}
+
+
 def check_plan(histogram, capacities):
     slots, containers = plan(histogram, capacities)
     fill, placed = {}, {}

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return (F.broadcast(df) if small else df), small
 
 
+@contextmanager
+def with_conf(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for what is run within; the one before is restored. It may steer plans only, not results."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 _shipped: set[str] = set()
 
 

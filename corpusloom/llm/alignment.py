@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.cluster import broadcast_if_small, checkpoint
+from corpusloom.cluster import checkpoint, with_conf
 
 #: Korean particles and verb endings after a stem, English function words, number words.
 _PARTICLE = re.compile(r"(?<=[가-힣]{2})(?:으로부터|에게서|이라도|에서는|으로|에게|에서|까지|부터|이란|이라|에는|에도|보다|처럼|마다|란|을|를|이|가|은|는|의|에|와|과|로|도|만)$")
@@ -26,6 +28,23 @@ _MONTH = "|".join(_MONTHS)
 
 def _plain(value: float) -> str:
     return f"{value:.4f}".rstrip("0").rstrip(".")
+_KO_WORD = re.compile(r"\d[\d,]*(?:\.\d+)?|[A-Za-z]+|[가-힣]+")
+_EN_WORD = re.compile(r"\d[\d,]*(?:\.\d+)?|[a-z]+|[가-힣]+")
+_KO_DATE = re.compile(r"(\d{4})년\s*(\d{1,2})월\s*(\d{1,2})일")
+_KO_AMOUNT = re.compile(r"(?:(\d[\d,.]*)억)?\s*(?:(\d[\d,.]*)만)?\s*(\d[\d,]*)?\s*원")
+_EN_DATES = (re.compile(rf"\b({_MONTH}) (\d{{1,2}}), (\d{{4}})"), re.compile(rf"\b(\d{{1,2}}) ({_MONTH}) (\d{{4}})"))
+_EN_AMOUNTS = (re.compile(r"(?:krw|₩)\s*(\d[\d,]*(?:\.\d+)?)\s*(billion|million|thousand)?"), re.compile(r"(\d[\d,]*(?:\.\d+)?)\s*(billion|million|thousand)?\s*won\b"))
+_EN_SUFFIX = re.compile(r"(?:ations?|ating|ated|ates?|ings?|ies|ied|ed|es|s|e|y)$")
+#: Stems of the words seen, a worker's own; cleared when there are very many.
+_KNOWN: dict[str, str | None] = {}
+
+
+def _remembered(word: str, stem: Callable[[str], str | None]) -> str | None:
+    if word not in _KNOWN:
+        if len(_KNOWN) > 1_000_000:
+            _KNOWN.clear()
+        _KNOWN[word] = stem(word)
+    return _KNOWN[word]
 
 
 def korean_terms(sentence: str) -> list[str]:
@@ -33,6 +52,8 @@ def korean_terms(sentence: str) -> list[str]:
     terms: list[str] = []
 
     def amount(m: re.Match) -> str:
+        if not any(m.groups()):
+            return m.group()
         parts = [float((g or "0").replace(",", "")) for g in m.groups()]
         terms.append("#w" + _plain(parts[0] * 1e8 + parts[1] * 1e4 + parts[2]))
         return " "
@@ -42,18 +63,22 @@ def korean_terms(sentence: str) -> list[str]:
         return " "
 
     text = sentence.replace("제3자", "제삼자")
-    text = re.sub(r"(\d{4})년\s*(\d{1,2})월\s*(\d{1,2})일", date, text)
-    text = re.sub(r"(?:(\d[\d,.]*)억)?\s*(?:(\d[\d,.]*)만)?\s*(\d[\d,]*)?\s*원", lambda m: amount(m) if any(m.groups()) else m.group(), text)
-    text = re.sub(r"100분의\s*(\d)", r"\1", text)
-    for word in re.findall(r"\d[\d,]*(?:\.\d+)?|[A-Za-z]+|[가-힣]+", text):
-        if word[0].isdigit():
-            terms.append("#" + _plain(float(word.replace(",", ""))))
-        else:
-            stem = _PARTICLE.sub("", word)
-            terms.append(m.group(1) if (m := _VERB.match(stem)) else stem.lower())
+    if "월" in text:
+        text = _KO_DATE.sub(date, text)
+    if "원" in text:
+        text = _KO_AMOUNT.sub(amount, text)
+    if "100분의" in text:
+        text = re.sub(r"100분의\s*(\d)", r"\1", text)
+    for word in _KO_WORD.findall(text):
+        terms.append("#" + _plain(float(word.replace(",", ""))) if word[0].isdigit() else _remembered(word, _korean_stem))
     return terms
 
 
+def _korean_stem(word: str) -> str:
+    stem = _PARTICLE.sub("", word)
+    return m.group(1) if (m := _VERB.match(stem)) else stem.lower()
+
+
 def english_terms(sentence: str) -> list[str]:
     """Stems and numbers of an English sentence; amounts and dates are one number each."""
     terms: list[str] = []
@@ -68,196 +93,480 @@ def english_terms(sentence: str) -> list[str]:
         return " "
 
     text = sentence.lower()
-    text = re.sub(rf"\b({_MONTH}) (\d{{1,2}}), (\d{{4}})", lambda m: date(m.group(3), m.group(1), m.group(2)), text)
-    text = re.sub(rf"\b(\d{{1,2}}) ({_MONTH}) (\d{{4}})", lambda m: date(m.group(3), m.group(2), m.group(1)), text)
-    text = re.sub(r"(?:krw|₩)\s*(\d[\d,]*(?:\.\d+)?)\s*(billion|million|thousand)?", amount, text)
-    text = re.sub(r"(\d[\d,]*(?:\.\d+)?)\s*(billion|million|thousand)?\s*won\b", amount, text)
-    text = _NUMBER_WORD.sub(lambda m: f" {_WORDS[m.group(1)]} ", text)
-    text = re.sub(r"(\d+)/100\b", r"\1", re.sub(r"\b(\d{1,2}):00\b", r"\1", text))
-    for word in re.findall(r"\d[\d,]*(?:\.\d+)?|[a-z]+|[가-힣]+", text):
+    words = _EN_WORD.findall(text)
+    spelled = not _WORDS.keys().isdisjoint(words)
+    if spelled or any(w[0].isdigit() for w in words):
+        if not set(_MONTHS).isdisjoint(words):
+            text = _EN_DATES[0].sub(lambda m: date(m.group(3), m.group(1), m.group(2)), text)
+            text = _EN_DATES[1].sub(lambda m: date(m.group(3), m.group(2), m.group(1)), text)
+        if "krw" in text or "₩" in text:
+            text = _EN_AMOUNTS[0].sub(amount, text)
+        if "won" in text:
+            text = _EN_AMOUNTS[1].sub(amount, text)
+        if spelled:
+            text = _NUMBER_WORD.sub(lambda m: f" {_WORDS[m.group(1)]} ", text)
+        text = re.sub(r"(\d+)/100\b", r"\1", re.sub(r"\b(\d{1,2}):00\b", r"\1", text))
+        words = _EN_WORD.findall(text)
+    for word in words:
         if word[0].isdigit():
             terms.append("#" + _plain(float(word.rstrip(",").replace(",", ""))))
-        elif word not in _STOP and len(word) > 1:
-            terms.append(re.sub(r"(?:ations?|ating|ated|ates?|ings?|ies|ied|ed|es|s|e|y)$", "", word)[:7] if len(word) > 4 else word)
+        elif stem := _remembered(word, _english_stem):
+            terms.append(stem)
     return terms
 
 
-def with_terms(sentences: DataFrame) -> DataFrame:
-    """(``pair``, ``side``, ``no``, ``terms``) of sentences; distinct terms, as an array."""
+def _english_stem(word: str) -> str | None:
+    if word in _STOP or len(word) < 2:
+        return None
+    return _EN_SUFFIX.sub("", word)[:7] if len(word) > 4 else word
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides, texts = batch.column(1).to_pylist(), batch.column(3).to_pylist()
-            found = [list(dict.fromkeys(korean_terms(t) if s == "ko" else english_terms(t))) for s, t in zip(sides, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.string()))], names=["pair", "side", "no", "terms"])
 
-    return sentences.mapInArrow(cut, "pair string, side string, no int, terms array<string>")
+def term_id(term: str) -> int:
+    """A term's number, of 32 bits: odd for numbers, even for words. Two words share one with a probability of 2^-31."""
+    import xxhash
+
+    code = xxhash.xxh32_intdigest(term)
+    return (code | 1 if term[0] == "#" else code & ~1) - (1 << 31)
 
 
-def associations(ko: DataFrame, en: DataFrame, unit: list[str], least: float = 0.08) -> DataFrame:
-    """(``k``, ``e``, ``phi``): the Korean and English terms that share paired units, by their correlation.
+def with_terms(sentences: DataFrame) -> DataFrame:
+    """(``pair``, ``p``, ``en``, ``no``, ``terms``) of (``pair``, ``p``, ``en``, ``no``, ``sentence``): distinct terms by number, ascending."""
 
-    ``ko`` and ``en`` hold distinct (unit, term). All partners that share more units than chance are kept.
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: dict[str, int] = {}
+        for batch in batches:
+            found = []
+            for english, text in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                row = set()
+                for term in english_terms(text) if english else korean_terms(text):
+                    if (number := ids.get(term)) is None:
+                        number = ids[term] = term_id(term)
+                    row.add(number)
+                found.append(sorted(row))
+            if len(ids) > 1_000_000:
+                ids.clear()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, pa.list_(pa.int32()))], names=["pair", "p", "en", "no", "terms"])
+
+    return sentences.mapInArrow(cut, "pair string, p long, en boolean, no int, terms array<int>")
+
+
+#: Kinds of counts: units with a Korean and an English term, with one of them, all units; sentences with a concept, English ones.
+JOINT, KO, EN, UNITS, SENTENCES, LINES = range(6)
+_COUNTS = "kind int, k int, e int, n long"
+
+
+class Counter:
+    """Counts of the units in which terms occur, of many units at a time; ``rows`` gives and forgets them."""
+
+    def __init__(self, most: int = 2_000):
+        self.most, self.ko, self.en, self.sizes = most, [], [], []
+        self.extra: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, ko: np.ndarray, en: np.ndarray) -> None:
+        self.ko.append(ko)
+        self.en.append(en)
+
+    @property
+    def full(self) -> bool:
+        return len(self.ko) >= self.most
+
+    def rows(self) -> pa.RecordBatch:
+        def ranks(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            unit = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+            terms, rank = np.unique(np.concatenate([np.empty(0, np.int32), *parts]), return_inverse=True)
+            return terms, rank, unit
+
+        (kt, kr, ku), (et, er, eu) = ranks(self.ko), ranks(self.en)
+        zero = np.zeros(1, np.int32)
+        out = [(KO, kt, np.zeros(len(kt), np.int32), np.bincount(kr, minlength=len(kt))), (EN, np.zeros(len(et), np.int32), et, np.bincount(er, minlength=len(et))), (UNITS, zero, zero, np.array([len(self.ko)]))]
+        starts = np.searchsorted(eu, np.arange(len(self.ko) + 1))
+        each = np.diff(starts)[ku] if len(ku) else np.empty(0, np.int64)
+        pairs = int(each.sum())
+        # Few terms that are common are multiplied as matrices, many rare ones listed: whichever is less work.
+        if len(kt) * len(et) and len(kt) * len(et) * len(self.ko) < 400 * pairs:
+            left, right = np.zeros((len(self.ko), len(kt)), np.float32), np.zeros((len(self.ko), len(et)), np.float32)
+            left[ku, kr] = 1
+            right[eu, er] = 1
+            many = left.T @ right
+            a, b = np.nonzero(many)
+            out.append((JOINT, kt[a], et[b], many[a, b].astype(np.int64)))
+        elif pairs:
+            at = np.arange(pairs) - np.repeat(np.cumsum(each) - each, each) + np.repeat(starts[ku], each)
+            cell, many = np.unique(np.repeat(kr, each) * len(et) + er[at], return_counts=True)
+            out.append((JOINT, kt[cell // len(et)], et[cell % len(et)], many))
+        out += self.extra
+        self.ko, self.en, self.extra = [], [], []
+        kind = np.concatenate([np.full(len(n), kind, np.int32) for kind, _, _, n in out])
+        columns = [kind, *(np.concatenate([part[i] for part in out]) for i in (1, 2, 3))]
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64 if i == 3 else np.int32)) for i, c in enumerate(columns)], names=["kind", "k", "e", "n"])
+
+
+def _words(terms: np.ndarray) -> np.ndarray:
+    return terms[terms & 1 == 0]
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts over pairs of documents, of (``p``, ``en``, ``terms``) in order of ``p``. Only the distinct terms of one pair are held."""
+    counter, now = Counter(), None
+    sides: dict[bool, list[np.ndarray]] = {False: [], True: []}
+    concepts: dict[bool, list[np.ndarray]] = {False: [], True: []}
+    lines = 0
+
+    def close() -> None:
+        if sides[False] and sides[True]:
+            counter.add(*(np.unique(_words(np.concatenate(sides[s]))) for s in (False, True)))
+            heard = np.concatenate(concepts[False] + concepts[True])
+            counter.extra += [(SENTENCES, np.zeros(len(heard), np.int32), heard, np.ones(len(heard), np.int64)), (LINES, np.zeros(1, np.int32), np.zeros(1, np.int32), np.array([lines]))]
+
+    for batch in batches:
+        keys, english = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+        ends, flat = np.cumsum(batch.column(2).value_lengths().to_numpy(zero_copy_only=False)), batch.column(2).flatten().to_numpy()
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]) | (english[1:] != english[:-1])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
+            if b <= a:
+                continue
+            if keys[a] != now:
+                close()
+                now, lines = keys[a], 0
+                for held in (sides, concepts):
+                    held[False], held[True] = [], []
+                if counter.full:
+                    yield _summed(counter.rows())
+            side = bool(english[a])
+            terms = flat[ends[a - 1] if a else 0 : ends[b - 1]]
+            sides[side].append(np.unique(terms))
+            concepts[side].append(terms if side else terms[terms & 1 == 1])
+            lines += (b - a) * side
+            if len(sides[side]) > 64:
+                sides[side] = [np.unique(np.concatenate(sides[side]))]
+    close()
+    yield _summed(counter.rows())
+
+
+def _summed(rows: pa.RecordBatch) -> pa.RecordBatch:
+    table = pa.Table.from_batches([rows]).group_by(["kind", "k", "e"], use_threads=False).aggregate([("n", "sum")])
+    return table.select(["kind", "k", "e", "n_sum"]).rename_columns(["kind", "k", "e", "n"]).combine_chunks().to_batches()[0]
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts over linked sentences, of (Korean terms, English terms)."""
+    counter = Counter(20_000)
+    for batch in batches:
+        sides = []
+        for i in (0, 1):
+            flat, ends = batch.column(i).flatten().to_numpy(), np.cumsum(batch.column(i).value_lengths().to_numpy(zero_copy_only=False))
+            sides.append([_words(part) for part in np.split(flat, ends[:-1])])
+        for ko, en in zip(*sides, strict=True):
+            counter.add(ko, en)
+        if counter.full:
+            yield counter.rows()
+    yield counter.rows()
+
+
+def associations(counts: DataFrame, least: float) -> DataFrame:
+    """(``k``, ``e``, ``phi``): the Korean and English words that share units, by their correlation over all units.
+
+    All partners are kept whose correlation is at least ``least`` and beyond chance.
     """
-    total = ko.select(*unit).distinct().count()
-    if not total:
-        return ko.select(F.col("term").alias("k"), F.col("term").alias("e"), F.lit(0.0).alias("phi")).limit(0)
-    nk = ko.groupBy(F.col("term").alias("k")).agg(F.count("*").alias("nk"))
-    ne = en.groupBy(F.col("term").alias("e")).agg(F.count("*").alias("ne"))
-    both = ko.withColumnRenamed("term", "k").join(en.withColumnRenamed("term", "e"), unit).groupBy("k", "e").agg(F.count("*").alias("n"))
-    n = F.lit(float(total))
+    first = counts.where(F.col("kind") == UNITS).agg(F.sum("n")).first()[0] or 0
+    n = F.lit(float(max(first, 1)))
+    nk = counts.where(F.col("kind") == KO).select("k", F.col("n").alias("nk"))
+    ne = counts.where(F.col("kind") == EN).select("e", F.col("n").alias("ne"))
+    both = counts.where((F.col("kind") == JOINT) & (F.col("n") > 1)).select("k", "e", "n").join(nk, "k").join(ne, "e")
     spread = F.sqrt(F.col("nk") * F.col("ne") * (n - F.col("nk") + 1) * (n - F.col("ne") + 1))
-    scored = both.where("n > 1").join(nk, "k").join(ne, "e").withColumn("phi", (n * F.col("n") - F.col("nk") * F.col("ne")) / spread)
+    scored = both.withColumn("phi", (n * F.col("n") - F.col("nk") * F.col("ne")) / spread)
     return scored.where(F.col("phi") > F.greatest(F.lit(least), 3.0 / F.sqrt(n))).select("k", "e", "phi")
 
 
-def projection(counts: DataFrame, related: DataFrame, many: int) -> DataFrame:
-    """(``side``, ``term``, ``dim``, ``value``): what each term adds to which concepts, an English term each.
+def projection(counts: DataFrame, related: DataFrame) -> DataFrame:
+    """(``en``, ``term``, ``dim``, ``value``): what each term adds to which concepts, an English term or a number each.
 
-    ``counts`` has the number ``n`` of sentences of every (``side``, ``term``) whose term is a concept,
-    of ``many`` in all: English terms, and numbers of both languages. These add their weight to
-    themselves; Korean words add the similarities of ``related``, scaled to one a term, by weight.
+    ``counts`` holds in how many sentences every concept occurs, of how many English ones. Concepts add
+    their weight to themselves; Korean words add the similarities of ``related``, scaled to one a term,
+    by weight.
     """
-    total = counts.groupBy("term").agg(F.sum("n").alias("n"))
-    weights = total.select("term", F.greatest(F.lit(0.3), F.log(F.lit(float(many)) / F.col("n"))).alias("w"))
-    own = counts.join(weights, "term").select("side", "term", F.col("term").alias("dim"), F.col("w").alias("value"))
+    many = (counts.where(F.col("kind") == LINES).agg(F.sum("n")).first()[0] or 0) + 1
+    heard = counts.where(F.col("kind") == SENTENCES)
+    weights = heard.select(F.col("e").alias("term"), F.greatest(F.lit(0.3), F.log(F.lit(float(many)) / F.col("n"))).alias("w"))
+    number = F.col("term").bitwiseAND(F.lit(1)) == 1
+    own = weights.select(F.lit(True).alias("en"), "term", F.col("term").alias("dim"), F.col("w").alias("value"))
+    numbers = weights.where(number).select(F.lit(False).alias("en"), "term", F.col("term").alias("dim"), F.col("w").alias("value"))
     norms = related.groupBy("k").agg(F.sqrt(F.sum(F.col("phi") * F.col("phi"))).alias("norm"))
     learned = related.join(norms, "k").join(weights.withColumnRenamed("term", "e"), "e")
-    return own.unionByName(learned.select(F.lit("ko").alias("side"), F.col("k").alias("term"), F.col("e").alias("dim"), (F.col("phi") / F.col("norm") * F.col("w")).alias("value")))
+    return own.unionByName(numbers).unionByName(learned.select(F.lit(False).alias("en"), F.col("k").alias("term"), F.col("e").alias("dim"), (F.col("phi") / F.col("norm") * F.col("w")).alias("value")))
+
+
+class Concepts:
+    """The rows of ``projection`` for one language, by term."""
+
+    def __init__(self, terms: np.ndarray, dims: np.ndarray, values: np.ndarray):
+        order = np.argsort(terms, kind="stable")
+        self.dims, self.values = dims[order].astype(np.int32), values[order].astype(np.float64)
+        self.terms, self.first, self.many = np.unique(terms[order], return_index=True, return_counts=True)
+
+    def entries(self, rows: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not len(self.terms):
+            return rows[:0], terms[:0], np.empty(0)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        known = self.terms[at] == terms
+        rows, at = rows[known], at[known]
+        each = self.many[at]
+        where = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(self.first[at], each)
+        return np.repeat(rows, each), self.dims[where], self.values[where]
+
+
+def _vectors(rows: np.ndarray, dims: np.ndarray, values: np.ndarray, followers: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where each of ``most`` sparse vectors begins, its dimensions and values, and the squared norms of each
+    alone and merged with its followers (row numbers, -1 for none; nan from there on)."""
+    keys, inverse = np.unique((rows.astype(np.int64) << 32) | (dims.astype(np.int64) + (1 << 31)), return_inverse=True)
+    sums = np.bincount(inverse, weights=values, minlength=len(keys))
+    begins = np.searchsorted(keys, np.arange(most + 1, dtype=np.int64) << 32)
+
+    def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Products of vectors a and b, row by row."""
+        each = begins[a + 1] - begins[a]
+        at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(begins[a], each)
+        wanted = (keys[at] & 0xFFFFFFFF) | np.repeat(b.astype(np.int64) << 32, each)
+        found = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+        product = np.where(keys[found] == wanted, sums[at] * sums[found], 0.0) if len(keys) else np.zeros(0)
+        return np.bincount(np.repeat(np.arange(len(a)), each), weights=product, minlength=len(a))
+
+    square = np.bincount(keys >> 32, weights=sums * sums, minlength=most)[:most]
+    norms = np.full((most, len(followers) + 1), np.nan)
+    norms[:, 0] = square
+    chain = [np.arange(most), *followers]
+    for w in range(1, len(chain)):
+        whole = np.flatnonzero(np.logical_and.reduce([c >= 0 for c in chain[: w + 1]]))
+        norms[whole, w] = norms[whole, w - 1] + square[chain[w][whole]] + 2 * sum(inner(chain[v][whole], chain[w][whole]) for v in range(w))
+    return begins, (keys & 0xFFFFFFFF) - (1 << 31), sums, norms
+
+
+_VECTOR = "p long, no int, dims array<int>, weights array<float>, norms array<double>"
+
+
+def _vector_rows(concepts: Concepts | None, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Vectors of sentences in order of (``p``, ``no``), given their terms or, without ``concepts``, their parts:
+    dimensions and values. The last rows of a batch wait for those that follow them."""
+
+    def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        inside = lists.flatten()
+        if concepts is None:
+            return rows, inside.field(0).to_numpy(zero_copy_only=False), inside.field(1).to_numpy(zero_copy_only=False)
+        return concepts.entries(rows, inside.to_numpy(zero_copy_only=False))
+
+    def done(batch: pa.RecordBatch, most: int) -> pa.RecordBatch:
+        key, no, n = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.num_rows
+        index, followers = np.arange(n), []
+        for w in range(1, width):
+            at = np.minimum(index + w, n - 1)
+            followers.append(np.where((index + w < n) & (key[at] == key) & (no[at] == no + w), at, -1))
+        begins, dims, values, norms = _vectors(*flat(batch.column(2)), followers, n)
+        ends, end = pa.array(begins[: most + 1].astype(np.int32)), int(begins[most])
+        squares = norms[:most].reshape(-1)
+        columns = [
+            batch.column(0).slice(0, most), batch.column(1).slice(0, most), pa.ListArray.from_arrays(ends, pa.array(dims[:end].astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(values[:end].astype(np.float32))),
+            pa.ListArray.from_arrays(pa.array(np.arange(0, len(squares) + 1, width, dtype=np.int32)), pa.array(squares, mask=np.isnan(squares))),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["p", "no", "dims", "weights", "norms"])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            held = batch if held is None else pa.concat_batches([held, batch])
+            if held.num_rows >= max(width, 2_000):
+                yield done(held, held.num_rows - width + 1)
+                held = held.slice(held.num_rows - width + 1)
+        if held is not None and held.num_rows:
+            yield done(held, held.num_rows)
 
+    return build
 
-def vectors(terms: DataFrame, concepts: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
-    """(``pair``, ``side``, ``no``, ``v``, ``numbers``): sentences over the concepts of ``projection``, as maps.
 
-    Sentences none of whose terms has a concept are left out. The concepts are broadcast if they have at
-    most ``max_broadcast`` rows, else joined.
-    """
-    known, _ = broadcast_if_small(checkpoint(concepts), max_broadcast)
-    numbers = F.filter("terms", lambda t: t.startswith("#"))
-    flat = terms.select("pair", "side", "no", F.explode("terms").alias("term")).join(known, ["side", "term"])
-    summed = flat.repartition("pair", "side", "no").groupBy("pair", "side", "no", "dim").agg(F.sum("value").alias("value"))
-    entries = F.sort_array(F.collect_list(F.struct("dim", F.round("value", 9).alias("value"))))
-    maps = summed.groupBy("pair", "side", "no").agg(F.map_from_entries(entries).alias("v"))
-    return maps.join(terms.select("pair", "side", "no", numbers.alias("numbers")), ["pair", "side", "no"])
+def _located(terms: DataFrame, concepts: DataFrame, max_broadcast: int, at_home: bool) -> Callable[[bool, int], DataFrame]:
+    """A function of side and width: the vectors of sentences, partitioned by ``p`` if ``at_home``.
 
+    The concepts go to the workers if they are at most ``max_broadcast``; else sentences and concepts are joined.
+    """
+    concepts = checkpoint(concepts)
+    small = concepts.limit(max_broadcast + 1).count() <= max_broadcast
+    rows = {side: concepts.where(F.col("en") == side).select("term", "dim", "value").toArrow() for side in (False, True)} if small else {}
+    parts = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def located(side: bool, width: int) -> DataFrame:
+        own = terms.where(F.col("en") == side).select("p", "no", "terms")
+        if small:
+            known = Concepts(*(rows[side].column(c).to_numpy() for c in ("term", "dim", "value")))
+        else:
+            joined = own.select("p", "no", F.explode("terms").alias("term")).join(concepts.where(F.col("en") == side), "term")
+            summed = joined.groupBy("p", "no", "dim").agg(F.sum("value").alias("value")).groupBy("p", "no").agg(F.collect_list(F.struct("dim", "value")).alias("parts"))
+            own, known = summed.repartition(parts, "p").sortWithinPartitions("p", "no"), None
+        vectors = own.mapInArrow(_vector_rows(known, width), _VECTOR)
+        return vectors.repartition(parts, "p") if at_home else vectors
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.map_keys(a), F.lit(0.0), lambda total, d: total + F.try_element_at(a, d) * F.coalesce(F.try_element_at(b, d), F.lit(0.0)))
+    return located
 
 
-def span_scores(vecs: DataFrame, least: float, silent: float = 0.5, conflict: float = 0.75, merge: bool = True) -> DataFrame:
-    """(``pair``, ``i0``, ``i1``, ``j0``, ``j1``, ``cosine``, ``score``) of spans: a Korean and an English
-    sentence, or, with ``merge``, one of them with two neighbours of the other language merged.
+def span_scores(terms: DataFrame, concepts: DataFrame, least: float, silent: float = 0.5, conflict: float = 0.75, width: int = 1, max_broadcast: int = 1_000_000, at_home: bool = True) -> DataFrame:
+    """(``pair``, ``p``, ``i0``, ``i1``, ``j0``, ``j1``, ``cosine``, ``score``) of spans: a Korean and an English
+    sentence, or one of them with up to ``width`` neighbours of the other language merged.
 
     The score is the geometric mean of the cosine and the share of the lesser side that the other
     contains, so a sentence that leaves something out still fits. Spans below ``least`` are left out, or
     below ``silent`` where a side has no number, or below ``conflict`` where neither side's numbers
     contain the other's.
+
+    With ``at_home``, all rows of ``p`` are put into one partition, and no join, sum or window after it moves any row.
     """
-    order = Window.partitionBy("pair", "side").orderBy("no")
-    next_v = F.when(F.lead("no").over(order) == F.col("no") + 1, F.lead("v").over(order))
-    both = F.when(F.lead("no").over(order) == F.col("no") + 1, F.array_union("numbers", F.lead("numbers").over(order)))
-    sized = vecs.withColumn("sq", _dot(F.col("v"), F.col("v")))
-    if merge:
-        sized = sized.withColumn("v2", next_v).withColumn("numbers2", both)
-    else:
-        sized = sized.withColumn("v2", F.lit(None).cast("map<string,double>")).withColumn("numbers2", F.lit(None).cast("array<string>"))
-    with_next = checkpoint(sized.where("sq > 0").withColumn("cross", F.when(F.col("v2").isNotNull(), F.col("sq") + _dot(F.col("v2"), F.col("v2")) + 2 * _dot(F.col("v"), F.col("v2")))).drop("v2"))
+    located = _located(terms, concepts, max_broadcast, at_home)
+    parts = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = range(width)
+
+    def entries(side: bool, no: str, value: str, name: str) -> DataFrame:
+        flat = located(side, width).select("p", F.col("no").alias(no), "weights", "norms", F.posexplode("dims").alias("at", "dim"))
+        return flat.select("p", no, "dim", F.col("weights")[F.col("at")].cast("double").alias(value), *[F.col("norms")[w].alias(f"{name}{w}") for w in every])
+
     # Sparse cosines: sentences of a pair meet where they share a concept.
-    side = lambda name, no, w: with_next.where(F.col("side") == name).select("pair", F.col("no").alias(no), F.explode("v").alias("dim", w))
-    size = lambda name, no, s: with_next.where(F.col("side") == name).select("pair", F.col("no").alias(no), F.struct("sq", "cross", "numbers", "numbers2").alias(s))
-    dots = side("ko", "i", "a").join(side("en", "j", "b"), ["pair", "dim"]).groupBy("pair", "i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("dot"))
-    near = dots.join(size("ko", "i", "k"), ["pair", "i"]).join(size("en", "j", "e"), ["pair", "j"])
+    met = entries(False, "i", "a", "k").join(entries(True, "j", "b", "e").hint("merge"), ["p", "dim"])
+    near = met.groupBy("p", "i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("dot"), *[F.max(f"{s}{w}").alias(f"{s}{w}") for s in "ke" for w in every])
     # The neighbours' products: of j + 1 with the same i, of i + 1 with the same j.
-    right = Window.partitionBy("pair", "i").orderBy("j")
-    below = Window.partitionBy("pair", "j").orderBy("i")
-    if merge:
-        near = near.withColumn("dot_j", F.when(F.lead("j").over(right) == F.col("j") + 1, F.lead("dot").over(right))).withColumn("dot_i", F.when(F.lead("i").over(below) == F.col("i") + 1, F.lead("dot").over(below)))
-
-    def span(i1: Column, j1: Column, dot: Column, a: Column, b: Column, m: Column, n: Column) -> Column:
+    right, below = Window.partitionBy("p", "i").orderBy("j"), Window.partitionBy("p", "j").orderBy("i")
+    near = near.withColumn("right0", F.col("dot")).withColumn("below0", F.col("dot"))
+    for w in every[1:]:
+        near = near.withColumn(f"right{w}", F.col(f"right{w - 1}") + F.when(F.lead("j", w).over(right) == F.col("j") + w, F.lead("dot", w).over(right)))
+    for w in every[1:]:
+        near = near.withColumn(f"below{w}", F.col(f"below{w - 1}") + F.when(F.lead("i", w).over(below) == F.col("i") + w, F.lead("dot", w).over(below)))
+
+    def span(more_i: int, more_j: int) -> Column:
+        dot, a, b = F.col(f"right{more_j}" if more_j else f"below{more_i}"), F.col(f"k{more_i}"), F.col(f"e{more_j}")
         cosine = dot / F.sqrt(a * b)
         score = F.sqrt(cosine * F.least(F.lit(1.0), dot / F.least(a, b)))
-        fewer = F.least(F.size(m), F.size(n))
-        needed = F.when(fewer == 0, silent).when(F.size(F.array_intersect(m, n)) < fewer, conflict).otherwise(least)
-        return F.when(score >= F.greatest(needed, F.lit(least)), F.struct(F.col("i").alias("i0"), i1.alias("i1"), F.col("j").alias("j0"), j1.alias("j1"), cosine.alias("cosine"), score.alias("score")))
+        return F.when(score >= least, F.struct(F.col("i").alias("i0"), (F.col("i") + more_i).alias("i1"), F.col("j").alias("j0"), (F.col("j") + more_j).alias("j1"), cosine.alias("cosine"), score.alias("score")))
+
+    shapes = [(0, 0)] + [s for w in every[1:] for s in ((0, w), (w, 0))]
+    scored = near.select("p", F.explode(F.array_compact(F.array(*[span(*s) for s in shapes]))).alias("s")).select("p", "s.*")
+
+    def numbers(side: bool, no: str, name: str) -> DataFrame:
+        own = terms.where(F.col("en") == side).select("p", "pair", F.col("no").alias(no), F.filter("terms", lambda t: t.bitwiseAND(F.lit(1)) == 1).alias("own"))
+        if at_home:
+            own = own.repartition(parts, "p")
+        order = Window.partitionBy("p").orderBy(no)
+        gathered = [F.col("own")]
+        for w in every[1:]:
+            gathered.append(F.array_union(gathered[-1], F.when(F.lead(no, w).over(order) == F.col(no) + w, F.lead("own", w).over(order))))
+        return own.select("p", no, *([] if side else ["pair"]), F.array(*gathered).alias(name))
 
-    k, e, i, j = F.col("k"), F.col("e"), F.col("i"), F.col("j")
-    single = span(i, j, F.col("dot"), k["sq"], e["sq"], k["numbers"], e["numbers"])
-    if not merge:
-        return near.select("pair", single.alias("s")).where("s is not null").select("pair", "s.*")
-    wide = F.when(F.col("dot_j").isNotNull(), span(i, j + 1, F.col("dot") + F.col("dot_j"), k["sq"], e["cross"], k["numbers"], e["numbers2"]))
-    tall = F.when(F.col("dot_i").isNotNull(), span(i + 1, j, F.col("dot") + F.col("dot_i"), k["cross"], e["sq"], k["numbers2"], e["numbers"]))
-    return near.select("pair", F.explode(F.array_compact(F.array(single, wide, tall))).alias("s")).select("pair", "s.*")
+    told = scored.join(numbers(False, "i0", "m").hint("merge"), ["p", "i0"]).join(numbers(True, "j0", "n").hint("merge"), ["p", "j0"])
+    told = told.withColumn("m", F.col("m")[F.col("i1") - F.col("i0")]).withColumn("n", F.col("n")[F.col("j1") - F.col("j0")])
+    fewer = F.least(F.size("m"), F.size("n"))
+    needed = F.when(fewer == 0, silent).when(F.size(F.array_intersect("m", "n")) < fewer, conflict).otherwise(least)
+    return told.where(F.col("score") >= needed).select("pair", "p", "i0", "i1", "j0", "j1", "cosine", "score")
 
 
-def _members(spans: DataFrame) -> DataFrame:
-    """Spans with ``m``, a row for each of their sentences."""
-    ends = [F.struct(F.lit(side).alias("side"), F.col(c).alias("no")) for side, c in (("ko", "i0"), ("ko", "i1"), ("en", "j0"), ("en", "j1"))]
-    return spans.withColumn("m", F.explode(F.array_distinct(F.array(*ends))))
+_SPAN = "pair string, p long, i0 int, i1 int, j0 int, j1 int, cosine double, score double"
 
 
-def mutual_best(spans: DataFrame, rounds: int = 3, discount: float = 0.03, contained: float = 0.55) -> DataFrame:
-    """The spans that are best for every sentence in them, then those among what is left, a few times;
+def mutual_best(spans: DataFrame, discount: float = 0.03, contained: float = 0.55, sure: bool = False) -> DataFrame:
+    """The spans that are best for every sentence in them, then those among what is left, until nothing is;
     at last the single pairs of which one sentence is left and the other, already aligned, contains it.
 
-    Merged spans pay ``discount``, so they win only where the second sentence adds something. Ties go to
-    the smaller spans, then to the first.
+    This is one pass over the spans of a pair in descending order: a span is taken if none of its
+    sentences is. With ``sure``, only if none of them was in a better one, taken or not, and nothing comes
+    later. Merged spans pay ``discount`` for each sentence more, so they win only where it adds something.
+    Ties go to the smaller spans, then to the first. A pair's spans are streamed; its sentences and single
+    spans alone are held.
     """
-    merged = (F.col("i0") != F.col("i1")) | (F.col("j0") != F.col("j1"))
-    spans = checkpoint(spans.withColumn("value", F.col("score") - F.when(merged, discount).otherwise(0.0)))
-    left, chosen = spans, None
-    for turn in range(rounds):
-        members = _members(left)
-        rank = F.struct(F.col("value"), -(F.col("i1") - F.col("i0") + F.col("j1") - F.col("j0")), -F.col("i0"), -F.col("j0"))
-        best = members.withColumn("rank", rank).withColumn("top", F.max("rank").over(Window.partitionBy("pair", "m")))
-        won = checkpoint(best.groupBy("pair", "i0", "i1", "j0", "j1", "cosine", "score").agg(F.bool_and(F.col("rank") == F.col("top")).alias("won")).where("won").drop("won"))
-        chosen = won if chosen is None else chosen.unionByName(won)
-        if turn + 1 < rounds:
-            taken = _members(won).select("pair", "m").distinct()
-            lost = members.join(taken, ["pair", "m"]).select("pair", "i0", "i1", "j0", "j1").distinct()
-            left = checkpoint(left.join(lost, ["pair", "i0", "i1", "j0", "j1"], "left_anti"))
-    if rounds > 1:
-        taken = _members(chosen).select("pair", "m").distinct().withColumn("used", F.lit(1))
-        single = _members(spans.where("i0 = i1 and j0 = j1")).join(taken, ["pair", "m"], "left").where("used is null")
-        # The sentence that is left is contained in the other if the score exceeds what its cosine implies.
-        held = single.withColumn("held", F.col("score") * F.col("score") / F.col("cosine")).where(F.col("held") >= contained)
-        first = F.row_number().over(Window.partitionBy("pair", "m").orderBy(F.desc("score"), "i0", "j0"))
-        late = held.withColumn("r", first).where("r = 1").select(*chosen.columns).distinct()
-        chosen = chosen.unionByName(late)
-    return chosen
-
-
-def align(sentences: DataFrame, least: float = 0.4) -> DataFrame:
+    more = F.col("i1") - F.col("i0") + F.col("j1") - F.col("j0")
+    parts = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = spans.repartition(parts, "p").withColumn("value", F.col("score") - discount * more).sortWithinPartitions("p", F.desc("value"), more, "i0", "j0", "pair").drop("value")
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ko, en, singles = None, set(), set(), []
+
+        def late() -> list[tuple]:
+            """The best single span of every sentence that is left; spans come in descending order."""
+            out, seen = {}, set()
+            for row in singles:
+                _, _, i, _, j, _, cosine, score = row
+                for used, mark in ((ko, ("ko", i)), (en, ("en", j))):
+                    # The sentence that is left is contained in the other if the score exceeds what its cosine implies.
+                    if mark[1] not in used and mark not in seen and score * score / cosine >= contained:
+                        seen.add(mark)
+                        out[i, j] = row
+            return list(out.values())
+
+        for batch in batches:
+            chosen = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                _, p, i0, i1, j0, j1, _, _ = row
+                if p != now:
+                    chosen += late()
+                    now, ko, en, singles = p, set(), set(), []
+                i, j = range(i0, i1 + 1), range(j0, j1 + 1)
+                free = ko.isdisjoint(i) and en.isdisjoint(j)
+                if free:
+                    chosen.append(row)
+                elif not sure and i0 == i1 and j0 == j1 and not (i0 in ko and j0 in en):
+                    singles.append(row)
+                if free or sure:
+                    ko.update(i)
+                    en.update(j)
+            yield _span_rows(chosen)
+        yield _span_rows(late())
+
+    return ordered.select("pair", "p", "i0", "i1", "j0", "j1", "cosine", "score").mapInArrow(choose, _SPAN)
+
+
+def _span_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), *[pa.int32()] * 4, *[pa.float64()] * 2]
+    columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["pair", "p", "i0", "i1", "j0", "j1", "cosine", "score"])
+
+
+def align(sentences: DataFrame, least: float = 0.4, width: int = 3, whole: int = 100_000, max_broadcast: int = 1_000_000) -> DataFrame:
     """(``pair``, ``i0``, ``i1``, ``j0``, ``j1``, ``cosine``, ``score``): aligned spans of Korean and English sentences.
 
     ``sentences`` has ``pair`` (what the two documents share), ``side`` (``ko`` or ``en``), ``no`` and
     ``sentence``; other columns are not read. Rows with a null among these, sentences without terms and
-    documents without a twin are not aligned. Repeated rows are one. No rows: no spans.
+    documents without a twin are not aligned. Repeated rows are one; of several sentences with one number
+    the least by terms counts. No rows: no spans. A sentence is aligned with up to ``width`` neighbours of
+    the other language.
+
+    The concepts are learned from all documents: first from words that share paired documents, then
+    from words that share the sentences that these concepts align with certainty. Counts and relations
+    are tables; concepts of more than ``max_broadcast`` rows stay one.
 
-    The concepts are learned from all documents: first from terms that share paired documents, then
-    from terms that share the sentences that these concepts align with certainty. Counts, relations and
-    concepts are tables, whatever the size of the vocabulary.
+    Sentences are partitioned by pair, and every later step keeps them there. Pairs of more than
+    ``whole`` sentences are not kept in one task: their joins, sums and windows are distributed by all of
+    their keys.
     """
+    spark = sentences.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = sentences.where(F.col("pair").isNotNull() & F.col("no").isNotNull() & F.col("sentence").isNotNull() & F.col("side").isin("ko", "en"))
-    once = known.select("pair", "side", F.col("no").cast("int").alias("no"), "sentence").dropDuplicates(["pair", "side", "no"])
-    every = checkpoint(with_terms(once).where(F.size("terms") > 0))
-    twins = every.groupBy("pair").agg(F.countDistinct("side").alias("sides")).where("sides = 2").select("pair")
-    terms = checkpoint(every.join(twins, "pair"))
-    many = terms.where("side = 'en'").count() + 1
-    flat = terms.select("pair", "side", "no", F.explode("terms").alias("term"))
-    counts = checkpoint(flat.where((F.col("side") == "en") | F.col("term").startswith("#")).groupBy("side", "term").agg(F.count("*").alias("n")))
-    words = flat.where(~F.col("term").startswith("#"))
-    unit = lambda s: words.where(F.col("side") == s).select("pair", "term").distinct()
-    rough = checkpoint(associations(unit("ko"), unit("en"), ["pair"]))
-    sure = mutual_best(span_scores(vectors(terms, projection(counts, rough, many)), 0.45, merge=False), rounds=1)
-    links = checkpoint(sure.select("pair", F.col("i0").alias("i"), F.col("j0").alias("j")))
-    ko = words.where("side = 'ko'").select("pair", F.col("no").alias("i"), "term").join(links, ["pair", "i"]).select("pair", "i", "term")
-    en = words.where("side = 'en'").select("pair", F.col("no").alias("j"), "term").join(links, ["pair", "j"]).select("pair", "i", "term")
-    fine = checkpoint(associations(ko, en, ["pair", "i"], least=0.05))
-    return mutual_best(span_scores(vectors(terms, projection(counts, fine, many)), least))
-
-
-def twin_sentences(sentences: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    rows = known.select("pair", F.xxhash64("pair").alias("p"), (F.col("side") == "en").alias("en"), F.col("no").cast("int").alias("no"), "sentence")
+    # Joins of rows that lie with their pair need no exchange, whichever other keys they have.
+    with with_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        once = with_terms(rows).where(F.size("terms") > 0).repartition(parts, "p").groupBy("p", "pair", "en", "no").agg(F.min("terms").alias("terms"))
+        terms = checkpoint(once.sortWithinPartitions("p", "en", "no"))
+        # The checkpoint keeps partitions and their order.
+        counts = checkpoint(terms.select("p", "en", "terms").mapInArrow(_documents, _COUNTS).groupBy("kind", "k", "e").agg(F.sum("n").alias("n")))
+        huge = checkpoint(terms.groupBy("p").agg(F.count("*").alias("n")).where(F.col("n") > whole).select("p"))
+        groups = [(terms, True)]
+        if not huge.isEmpty():
+            groups = [(terms.join(huge, "p", "left_anti"), True), (terms.join(huge, "p", "left_semi"), False)]
+
+        def best(concepts: DataFrame, floor: float, sure: bool, wide: int) -> DataFrame:
+            found = [span_scores(part, concepts, floor, width=wide, max_broadcast=max_broadcast, at_home=home) for part, home in groups]
+            return checkpoint(mutual_best(reduce(DataFrame.unionByName, found), sure=sure))
+
+        links = best(projection(counts, associations(counts, 0.15)), 0.45, True, 1).select("p", F.col("i0").alias("i"), F.col("j0").alias("j"))
+        side = lambda en, no, name: terms.where(F.col("en") == en).select("p", F.col("no").alias(no), F.col("terms").alias(name))
+        units = links.join(side(False, "i", "ko"), ["p", "i"]).join(side(True, "j", "words"), ["p", "j"]).select("ko", "words")
+        fine = units.mapInArrow(_linked, _COUNTS).groupBy("kind", "k", "e").agg(F.sum("n").alias("n"))
+        return best(projection(counts, associations(checkpoint(fine), 0.1)), least, False, width).drop("p")
+
+
+def twin_sentences(sentences: DataFrame) -> DataFrame:
     """(``pair``, ``side``, ``no``, ``sentence``) of the documents that exist in both languages.
 
     The English twin of a document has its id and ``-en``; ``pair`` is the Korean id.
@@ -269,8 +578,8 @@ def twin_sentences(sentences: DataFrame, documents: DataFrame | None = None) ->
 
 def sentence_pairs(spans: DataFrame) -> DataFrame:
     """(``ko_id``, ``ko_sentence_no``, ``en_id``, ``en_sentence_no``): a row for each pair within the spans."""
-    ko = F.explode(F.array_distinct(F.array("i0", "i1")))
-    en = F.explode(F.array_distinct(F.array("j0", "j1")))
+    ko = F.explode(F.sequence("i0", "i1"))
+    en = F.explode(F.sequence("j0", "j1"))
     return (
         spans.withColumn("ko_sentence_no", ko)
         .withColumn("en_sentence_no", en)

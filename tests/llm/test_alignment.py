@@ -3,9 +3,11 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from corpusloom.llm.alignment import align, english_terms, korean_terms, sentence_pairs, twin_sentences
+from corpusloom.llm.alignment import JOINT, Concepts, Counter, _vector_rows, align, english_terms, korean_terms, sentence_pairs, twin_sentences
 
 SCHEMA = "id string, sentence_no int, sentence string, pair string, w double"
 
@@ -72,5 +74,71 @@ def test_terms_of_every_pair_are_learned(spark):
     assert len(found & truth) >= 0.9 * len(truth) and len(found & truth) >= 0.9 * len(found)
 
 
+def test_hot_pairs_and_large_vocabularies_give_the_same(spark):
+    rows, _ = corpus(3, documents=25)
+    usual = run(spark, rows)
+    assert usual and run(spark, rows, whole=3) == usual and run(spark, rows, max_broadcast=0) == usual
+
+
+def test_three_sentences_in_one(spark):
+    rows, _ = corpus(4)
+    said = {d: [t for i, n, t in rows if i == f"{d}-en" and n in (1, 2, 3)] for d in ("d1", "d2", "d3")}
+    kept = [r for r in rows if r[0].removesuffix("-en") not in said]
+    ko = [r for r in rows if r[0] in said]
+    _, truth = corpus(4)
+    truth = {t for t in truth if t[0] in said}
+    wide = [(f"{d}-en", 1, " ".join(texts)) for d, texts in said.items()] + [(i, n, t) for i, n, t in rows if i.removesuffix("-en") in said and i.endswith("-en") and n > 3]
+    expected = {(k, i, e, 1 if j <= 3 else j) for k, i, e, j in truth}
+    # Merged neighbours must be neighbours in the other language, too.
+    order = {d: sorted((j, i) for k, i, _, j in truth if k == d and j <= 3) for d in said}
+    renumber = {}
+    for d, pairs in order.items():
+        first = [i for _, i in pairs]
+        renumber |= {(d, i): at for at, i in enumerate(first + [i for i in range(1, 9) if i not in first], 1)}
+    ko = [(d, renumber[d, i], t) for d, i, t in ko]
+    expected = {(k, renumber[k, i], e, j) for k, i, e, j in expected}
+    frame = spark.createDataFrame([(*r, "x", 1.0) for r in kept + ko + wide], SCHEMA)
+    spans = align(twin_sentences(frame))
+    found = {tuple(r) for r in sentence_pairs(spans).collect() if r["ko_id"] in said}
+    of_three = {r for r in expected if r[3] == 1}
+    assert len(of_three & found) >= 0.85 * len(of_three)
+    assert spans.where("i1 - i0 = 2 and j0 = j1").where(F.col("pair").isin(*said)).count() >= 2
+
+
+def test_counts_of_both_ways_agree():
+    rng = np.random.default_rng(1)
+    for words, most in ((12, 40), (4_000, 60)):
+        units = [[np.unique(rng.integers(0, words, 20) * 2).astype(np.int32) for _ in range(2)] for _ in range(most)]
+        counter = Counter()
+        for ko, en in units:
+            counter.add(ko, en)
+        found = {(k, e): n for kind, k, e, n in zip(*(c.to_pylist() for c in counter.rows().columns), strict=True) if kind == JOINT}
+        expected = {}
+        for ko, en in units:
+            for pair in ((int(k), int(e)) for k in ko for e in en):
+                expected[pair] = expected.get(pair, 0) + 1
+        assert found == expected
+
+
+def test_vectors_across_batches():
+    terms = [[2, 4], [4, 6], [2], [8], [6, 4]]
+    concepts = Concepts(np.array([2, 4, 6, 6]), np.array([10, 12, 14, 12]), np.array([1.0, 2.0, 3.0, 0.5]))
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 1, 1, 1, 2]), pa.array([1, 2, 3, 5, 6], pa.int32()), pa.array(terms, pa.list_(pa.int32()))], names=["p", "no", "terms"])
+    alone = [{}, {}, {}, {}, {}]
+    for vector, own in zip(alone, terms, strict=True):
+        for t, d, v in zip((2, 4, 6, 6), (10, 12, 14, 12), (1.0, 2.0, 3.0, 0.5), strict=True):
+            if t in own:
+                vector[d] = vector.get(d, 0) + v
+    merged = lambda *vs: sum(sum(v.get(d, 0) for v in vs) ** 2 for d in (10, 12, 14))
+    for cuts in ([5], [2, 3], [1, 1, 1, 1, 1]):
+        parts, at = [], 0
+        for n in cuts:
+            parts.append(rows.slice(at, n))
+            at += n
+        found = [r for b in _vector_rows(concepts, 3)(iter(parts)) for r in b.to_pylist()]
+        assert [dict(zip(r["dims"], r["weights"], strict=True)) for r in found] == alone
+        assert [r["norms"] for r in found] == [[merged(*alone[:1]), merged(*alone[:2]), merged(*alone[:3])], [merged(alone[1]), merged(*alone[1:3]), None], [1, None, None], [0, None, None], [merged(alone[4]), None, None]]
+
+
 def test_empty(spark):
     assert run(spark, []) == set() and run(spark, [("a", 1, "강"), ("b-en", 1, "x")]) == set()

@@ -316,8 +316,8 @@ class Concepts:
 
 
 def _vectors(rows: np.ndarray, dims: np.ndarray, values: np.ndarray, followers: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Where each of ``most`` sparse vectors begins, its dimensions and values, and the squared norms of each
-    alone and merged with its followers (row numbers, -1 for none; nan from there on)."""
+    """Rows, dimensions and values of ``most`` sparse vectors, in order, and the squared norms of each alone and
+    merged with its followers (row numbers, -1 for none; nan from there on)."""
     keys, inverse = np.unique((rows.astype(np.int64) << 32) | (dims.astype(np.int64) + (1 << 31)), return_inverse=True)
     sums = np.bincount(inverse, weights=values, minlength=len(keys))
     begins = np.searchsorted(keys, np.arange(most + 1, dtype=np.int64) << 32)
@@ -338,73 +338,97 @@ def _vectors(rows: np.ndarray, dims: np.ndarray, values: np.ndarray, followers:
     for w in range(1, len(chain)):
         whole = np.flatnonzero(np.logical_and.reduce([c >= 0 for c in chain[: w + 1]]))
         norms[whole, w] = norms[whole, w - 1] + square[chain[w][whole]] + 2 * sum(inner(chain[v][whole], chain[w][whole]) for v in range(w))
-    return begins, (keys & 0xFFFFFFFF) - (1 << 31), sums, norms
+    return keys >> 32, (keys & 0xFFFFFFFF) - (1 << 31), sums, norms
 
 
-_VECTOR = "p long, no int, dims array<int>, weights array<float>, norms array<double>"
+_VECTOR = "p long, en boolean, no int, dims array<int>, weights array<float>, norms array<double>"
 
 
-def _vector_rows(concepts: Concepts | None, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Vectors of sentences in order of (``p``, ``no``), given their terms or, without ``concepts``, their parts:
-    dimensions and values. The last rows of a batch wait for those that follow them."""
+def _vector_rows(concepts: dict[bool, Concepts] | None, width: int, pairs: bool = True) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Vectors of sentences in order of (``p``, ``en``, ``no``), given their terms or, without ``concepts``, their
+    parts: dimensions and values.
 
-    def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    With ``pairs``, whole pairs of documents are taken at a time, and what cannot meet is left out after the
+    norms are known: dimensions that the other document of the pair has not. Else rows are streamed;
+    the last of a batch wait for those that follow them.
+    """
+
+    def flat(lists: pa.ListArray, english: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
         inside = lists.flatten()
         if concepts is None:
             return rows, inside.field(0).to_numpy(zero_copy_only=False), inside.field(1).to_numpy(zero_copy_only=False)
-        return concepts.entries(rows, inside.to_numpy(zero_copy_only=False))
+        terms, side = inside.to_numpy(zero_copy_only=False), english[rows]
+        parts = [concepts[s].entries(rows[side == s], terms[side == s]) for s in (False, True)]
+        return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
     def done(batch: pa.RecordBatch, most: int) -> pa.RecordBatch:
-        key, no, n = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.num_rows
+        key, english, no, n = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(), batch.num_rows
         index, followers = np.arange(n), []
         for w in range(1, width):
             at = np.minimum(index + w, n - 1)
-            followers.append(np.where((index + w < n) & (key[at] == key) & (no[at] == no + w), at, -1))
-        begins, dims, values, norms = _vectors(*flat(batch.column(2)), followers, n)
-        ends, end = pa.array(begins[: most + 1].astype(np.int32)), int(begins[most])
+            followers.append(np.where((index + w < n) & (key[at] == key) & (english[at] == english) & (no[at] == no + w), at, -1))
+        rows, dims, values, norms = _vectors(*flat(batch.column(3), english), followers, n)
+        if pairs:
+            cell = (np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))[rows] << 32) | (dims + (1 << 31))
+            met = np.zeros(len(cell), dtype=bool)
+            for side in (False, True):
+                own = english[rows] == side
+                met[own] = np.isin(cell[own], cell[~own])
+        else:
+            met = rows < most
+        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows[met], minlength=most))]).astype(np.int32))
         squares = norms[:most].reshape(-1)
         columns = [
-            batch.column(0).slice(0, most), batch.column(1).slice(0, most), pa.ListArray.from_arrays(ends, pa.array(dims[:end].astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(values[:end].astype(np.float32))),
+            *(batch.column(i).slice(0, most) for i in range(3)), pa.ListArray.from_arrays(ends, pa.array(dims[met].astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(values[met].astype(np.float32))),
             pa.ListArray.from_arrays(pa.array(np.arange(0, len(squares) + 1, width, dtype=np.int32)), pa.array(squares, mask=np.isnan(squares))),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["p", "no", "dims", "weights", "norms"])
+        return pa.RecordBatch.from_arrays(columns, names=["p", "en", "no", "dims", "weights", "norms"])
+
+    def ready(held: pa.RecordBatch) -> int:
+        """How many rows need none of those to come."""
+        if held.num_rows < max(width, 2_000):
+            return 0
+        if not pairs:
+            return held.num_rows - width + 1
+        key = held.column(0).to_numpy()
+        before = np.flatnonzero(key != key[-1])
+        return int(before[-1]) + 1 if len(before) else 0
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            held = batch if held is None else pa.concat_batches([held, batch])
-            if held.num_rows >= max(width, 2_000):
-                yield done(held, held.num_rows - width + 1)
-                held = held.slice(held.num_rows - width + 1)
-        if held is not None and held.num_rows:
-            yield done(held, held.num_rows)
+            held.append(batch)
+            if sum(b.num_rows for b in held) < 2_000 or pairs and batch.num_rows and held[0].column(0)[0] == batch.column(0)[-1]:
+                continue
+            whole = pa.concat_batches(held)
+            if most := ready(whole):
+                yield done(whole.slice(0, most) if pairs else whole, most)
+                whole = whole.slice(most)
+            held = [whole]
+        if held and (whole := pa.concat_batches(held)).num_rows:
+            yield done(whole, whole.num_rows)
 
     return build
 
 
-def _located(terms: DataFrame, concepts: DataFrame, max_broadcast: int, at_home: bool) -> Callable[[bool, int], DataFrame]:
-    """A function of side and width: the vectors of sentences, partitioned by ``p`` if ``at_home``.
+def _located(terms: DataFrame, concepts: DataFrame, max_broadcast: int, at_home: bool, width: int) -> DataFrame:
+    """The vectors of sentences, partitioned by ``p`` if ``at_home``.
 
     The concepts go to the workers if they are at most ``max_broadcast``; else sentences and concepts are joined.
     """
     concepts = checkpoint(concepts)
-    small = concepts.limit(max_broadcast + 1).count() <= max_broadcast
-    rows = {side: concepts.where(F.col("en") == side).select("term", "dim", "value").toArrow() for side in (False, True)} if small else {}
     parts = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def located(side: bool, width: int) -> DataFrame:
-        own = terms.where(F.col("en") == side).select("p", "no", "terms")
-        if small:
-            known = Concepts(*(rows[side].column(c).to_numpy() for c in ("term", "dim", "value")))
-        else:
-            joined = own.select("p", "no", F.explode("terms").alias("term")).join(concepts.where(F.col("en") == side), "term")
-            summed = joined.groupBy("p", "no", "dim").agg(F.sum("value").alias("value")).groupBy("p", "no").agg(F.collect_list(F.struct("dim", "value")).alias("parts"))
-            own, known = summed.repartition(parts, "p").sortWithinPartitions("p", "no"), None
-        vectors = own.mapInArrow(_vector_rows(known, width), _VECTOR)
-        return vectors.repartition(parts, "p") if at_home else vectors
-
-    return located
+    own, known = terms.select("p", "en", "no", "terms"), None
+    if concepts.limit(max_broadcast + 1).count() <= max_broadcast:
+        rows = concepts.toArrow()
+        columns = [rows.column(c).to_numpy() for c in ("en", "term", "dim", "value")]
+        known = {side: Concepts(*(c[columns[0] == side] for c in columns[1:])) for side in (False, True)}
+    else:
+        summed = own.select("p", "en", "no", F.explode("terms").alias("term")).join(concepts, ["en", "term"]).groupBy("p", "en", "no", "dim").agg(F.sum("value").alias("value"))
+        own = summed.groupBy("p", "en", "no").agg(F.collect_list(F.struct("dim", "value")).alias("parts")).repartition(parts, "p").sortWithinPartitions("p", "en", "no")
+    vectors = own.mapInArrow(_vector_rows(known, width, at_home), _VECTOR)
+    return vectors.repartition(parts, "p") if at_home else vectors
 
 
 def span_scores(terms: DataFrame, concepts: DataFrame, least: float, silent: float = 0.5, conflict: float = 0.75, width: int = 1, max_broadcast: int = 1_000_000, at_home: bool = True) -> DataFrame:
@@ -418,17 +442,18 @@ def span_scores(terms: DataFrame, concepts: DataFrame, least: float, silent: flo
 
     With ``at_home``, all rows of ``p`` are put into one partition, and no join, sum or window after it moves any row.
     """
-    located = _located(terms, concepts, max_broadcast, at_home)
+    located = _located(terms, concepts, max_broadcast, at_home, width)
     parts = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     every = range(width)
 
     def entries(side: bool, no: str, value: str, name: str) -> DataFrame:
-        flat = located(side, width).select("p", F.col("no").alias(no), "weights", "norms", F.posexplode("dims").alias("at", "dim"))
-        return flat.select("p", no, "dim", F.col("weights")[F.col("at")].cast("double").alias(value), *[F.col("norms")[w].alias(f"{name}{w}") for w in every])
+        # The side is told after the exchange, so both sides share it.
+        flat = located.select("p", F.col("no").alias(no), "weights", "norms", F.posexplode_outer(F.when(F.col("en") == side, F.col("dims"))).alias("at", "dim")).where(F.col("dim").isNotNull())
+        return flat.select("p", no, "dim", F.col("weights")[F.col("at")].alias(value), *[F.col("norms")[w].alias(f"{name}{w}") for w in every])
 
     # Sparse cosines: sentences of a pair meet where they share a concept.
     met = entries(False, "i", "a", "k").join(entries(True, "j", "b", "e").hint("merge"), ["p", "dim"])
-    near = met.groupBy("p", "i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("dot"), *[F.max(f"{s}{w}").alias(f"{s}{w}") for s in "ke" for w in every])
+    near = met.groupBy("p", "i", "j").agg(F.sum(F.col("a").cast("double") * F.col("b")).alias("dot"), *[F.max(f"{s}{w}").alias(f"{s}{w}") for s in "ke" for w in every])
     # The neighbours' products: of j + 1 with the same i, of i + 1 with the same j.
     right, below = Window.partitionBy("p", "i").orderBy("j"), Window.partitionBy("p", "j").orderBy("i")
     near = near.withColumn("right0", F.col("dot")).withColumn("below0", F.col("dot"))
@@ -437,14 +462,19 @@ def span_scores(terms: DataFrame, concepts: DataFrame, least: float, silent: flo
     for w in every[1:]:
         near = near.withColumn(f"below{w}", F.col(f"below{w - 1}") + F.when(F.lead("i", w).over(below) == F.col("i") + w, F.lead("dot", w).over(below)))
 
-    def span(more_i: int, more_j: int) -> Column:
-        dot, a, b = F.col(f"right{more_j}" if more_j else f"below{more_i}"), F.col(f"k{more_i}"), F.col(f"e{more_j}")
-        cosine = dot / F.sqrt(a * b)
-        score = F.sqrt(cosine * F.least(F.lit(1.0), dot / F.least(a, b)))
-        return F.when(score >= least, F.struct(F.col("i").alias("i0"), (F.col("i") + more_i).alias("i1"), F.col("j").alias("j0"), (F.col("j") + more_j).alias("j1"), cosine.alias("cosine"), score.alias("score")))
+    # By shape: how many neighbours are merged on each side. Most cells fall below the limit in all and are not unfolded.
+    shapes = {f"s{n}": s for n, s in enumerate([(0, 0)] + [s for w in every[1:] for s in ((0, w), (w, 0))])}
+
+    def product(more_i: int, more_j: int) -> Column:
+        return F.col(f"right{more_j}" if more_j else f"below{more_i}")
+
+    def cosine(more_i: int, more_j: int) -> Column:
+        return product(more_i, more_j) / F.sqrt(F.col(f"k{more_i}") * F.col(f"e{more_j}"))
 
-    shapes = [(0, 0)] + [s for w in every[1:] for s in ((0, w), (w, 0))]
-    scored = near.select("p", F.explode(F.array_compact(F.array(*[span(*s) for s in shapes]))).alias("s")).select("p", "s.*")
+    near = near.withColumns({n: F.sqrt(cosine(i, j) * F.least(F.lit(1.0), product(i, j) / F.least(f"k{i}", f"e{j}"))) for n, (i, j) in shapes.items()})
+    near = near.where(F.greatest(*shapes, F.lit(0.0)) >= least)
+    spans = [F.when(F.col(n) >= least, F.struct(F.col("i").alias("i0"), (F.col("i") + i).alias("i1"), F.col("j").alias("j0"), (F.col("j") + j).alias("j1"), cosine(i, j).alias("cosine"), F.col(n).alias("score"))) for n, (i, j) in shapes.items()]
+    scored = near.select("p", F.explode(F.array(*spans)).alias("s")).where(F.col("s").isNotNull()).select("p", "s.*")
 
     def numbers(side: bool, no: str, name: str) -> DataFrame:
         own = terms.where(F.col("en") == side).select("p", "pair", F.col("no").alias(no), F.filter("terms", lambda t: t.bitwiseAND(F.lit(1)) == 1).alias("own"))

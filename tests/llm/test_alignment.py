@@ -123,7 +123,7 @@ def test_counts_of_both_ways_agree():
 def test_vectors_across_batches():
     terms = [[2, 4], [4, 6], [2], [8], [6, 4]]
     concepts = Concepts(np.array([2, 4, 6, 6]), np.array([10, 12, 14, 12]), np.array([1.0, 2.0, 3.0, 0.5]))
-    rows = pa.RecordBatch.from_arrays([pa.array([1, 1, 1, 1, 2]), pa.array([1, 2, 3, 5, 6], pa.int32()), pa.array(terms, pa.list_(pa.int32()))], names=["p", "no", "terms"])
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 1, 1, 1, 2]), pa.array([True] * 5), pa.array([1, 2, 3, 5, 6], pa.int32()), pa.array(terms, pa.list_(pa.int32()))], names=["p", "en", "no", "terms"])
     alone = [{}, {}, {}, {}, {}]
     for vector, own in zip(alone, terms, strict=True):
         for t, d, v in zip((2, 4, 6, 6), (10, 12, 14, 12), (1.0, 2.0, 3.0, 0.5), strict=True):
@@ -135,10 +135,17 @@ def test_vectors_across_batches():
         for n in cuts:
             parts.append(rows.slice(at, n))
             at += n
-        found = [r for b in _vector_rows(concepts, 3)(iter(parts)) for r in b.to_pylist()]
+        found = [r for b in _vector_rows({False: concepts, True: concepts}, 3, pairs=False)(iter(parts)) for r in b.to_pylist()]
         assert [dict(zip(r["dims"], r["weights"], strict=True)) for r in found] == alone
         assert [r["norms"] for r in found] == [[merged(*alone[:1]), merged(*alone[:2]), merged(*alone[:3])], [merged(alone[1]), merged(*alone[1:3]), None], [1, None, None], [0, None, None], [merged(alone[4]), None, None]]
 
 
+def test_dimensions_that_cannot_meet_are_left_out():
+    same = Concepts(np.array([2, 4, 6]), np.array([2, 4, 6]), np.ones(3))
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 1, 1, 2]), pa.array([False, True, True, False]), pa.array([1, 1, 2, 1], pa.int32()), pa.array([[2, 4], [4], [4, 6], [4]], pa.list_(pa.int32()))], names=["p", "en", "no", "terms"])
+    found = [r for b in _vector_rows({False: same, True: same}, 1)(iter([rows.slice(0, 2), rows.slice(2)])) for r in b.to_pylist()]
+    assert [r["dims"] for r in found] == [[4], [4], [4], []] and [r["norms"] for r in found] == [[2], [1], [2], [1]]
+
+
 def test_empty(spark):
     assert run(spark, []) == set() and run(spark, [("a", 1, "강"), ("b-en", 1, "x")]) == set()

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.cluster import broadcast_if_small, checkpoint
+
 _OTHER = re.compile(r"[\W_]+")
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -25,6 +27,18 @@ def signs(text: str | None) -> str:
     return _OTHER.sub("", text.lower()) if text else ""
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+@lru_cache(maxsize=1)
+def _kept() -> np.ndarray:
+    """Which characters are letters or digits; the zero that parts texts stays, too."""
+    kept = np.fromiter((chr(c).isalnum() for c in range(0x110000)), dtype=bool, count=0x110000)
+    kept[0] = True
+    return kept
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     known = _POWERS.get(str(base))
     if known is None or len(known) < n:
@@ -37,9 +51,9 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Windows:
     """Hashes of all windows of a string: the sum of c(j) B^j over a window, divided by B^start, mod 2^64."""
 
-    def __init__(self, text: str):
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-        codes = (codes + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    def __init__(self, text: str | np.ndarray):
+        codes = _codes(text) if isinstance(text, str) else text
+        codes = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         codes ^= codes >> np.uint64(32)
         self.n = len(codes)
         self.sums = np.zeros(self.n + 1, dtype=np.uint64)
@@ -54,71 +68,61 @@ class Windows:
         return sums * np.uint64(0xBF58476D1CE4E5B9)
 
 
-class Items:
-    """A block of items, cut into shingles of half a run's length, side by side.
+def needed_shingles(length: int, width: int) -> int:
+    """How many of an item's shingles, side by side, stand in a document that repeats half of it.
 
-    Any repeated run of a item holds one of them whole. If at least half an item is repeated, at least
-    ``needed`` of its shingles are, as a run of r characters has no fewer than (r - width + 1) / width of
-    them; so of its shingles ordered by rarity a prefix must be hit that leaves out ``needed`` - 1.
+    A run of r characters holds no fewer than (r - width + 1) / width of them whole.
     """
+    return max(1, -(-((length + 1) // 2) // (3 * width - 2)))
 
-    def __init__(self, rows: list[tuple[int, str, str | None]], runs: dict[str, int]):
-        self.ids, self.texts, self.runs, self.needed = [], [], [], []
-        places: list[tuple[int, int, int]] = []  # width, item, start
-        for item_id, text, lang in rows:
-            flat = signs(text)
-            hangul = sum("가" <= c <= "힣" for c in flat)
-            run = runs.get((lang or "").strip().lower()[:2]) or runs["ko" if hangul * 2 > len(flat) else "en"]
-            width = run // 2
-            if len(flat) < run:
-                continue
-            at = len(self.ids)
-            self.ids.append(item_id)
-            self.texts.append(flat)
-            self.runs.append(run)
-            self.needed.append(max(1, -(-((len(flat) + 1) // 2) // (3 * width - 2))))
-            places += [(width, at, start) for start in range(0, len(flat) - width + 1, width)]
-        self.shingles: dict[int, dict[int, list[tuple[int, int]]]] = {}  # width: hash: (item, start)
-        hashes = {}
-        for width, at, start in places:
-            key = (width, self.texts[at][start : start + width])
-            if key not in hashes:
-                hashes[key] = int(Windows(key[1]).of(width)[0])
-            self.shingles.setdefault(width, {}).setdefault(hashes[key], []).append((at, start))
-
-    def tables(self, only: dict[int, set[int]] | None = None) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """By width: the sorted hashes, and a bit map of their first bits that most windows fail."""
-        out = {}
-        for width, by_hash in self.shingles.items():
-            keep = np.array(sorted(h for h in by_hash if only is None or h in only.get(width, ())), dtype=np.uint64)
-            bits = np.zeros(1 << 18, dtype=bool)
-            bits[(keep >> np.uint64(46)).astype(np.int64)] = True
-            out[width] = (keep, bits)
-        return out
-
-    def prefix(self, frequency: dict[tuple[int, int], int]) -> dict[int, set[int]]:
-        """The shingles that a match cannot do without, by width. ``frequency``: documents with a shingle."""
-        own: dict[int, list[tuple[int, int, int]]] = {}
-        for width, by_hash in self.shingles.items():
-            for h, where in by_hash.items():
-                for at, start in where:
-                    own.setdefault(at, []).append((frequency.get((width, h), 0), h, width))
-        out: dict[int, set[int]] = {}
-        for at, found in own.items():
-            for _, h, width in sorted(found)[: len(found) - self.needed[at] + 1]:
-                out.setdefault(width, set()).add(h)
-        return out
-
-
-def hits(windows: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Where windows equal one of the table's hashes, and which."""
-    keep, bits = table
-    if not len(keep) or not len(windows):
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    maybe = np.flatnonzero(bits[(windows >> np.uint64(46)).astype(np.int64)])
-    at = np.searchsorted(keep, windows[maybe])
-    sure = keep[np.minimum(at, len(keep) - 1)] == windows[maybe]
-    return maybe[sure], windows[maybe][sure]
+
+def item_shingles(items: DataFrame, runs: dict[str, int]) -> DataFrame:
+    """(``u``, ``item_id``, ``flat``, ``run``, ``width``, ``needed``, ``hashes``) of items: their letters and digits, and the
+    hashes of their shingles of half a run's length, side by side. Items shorter than a run are left out."""
+    kind = dict(items.dtypes)["item_id"]
+    once = items.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).groupBy("item_id", "text").agg(F.max("lang").alias("lang"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, keep = [], []
+            for i, (text, lang) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                flat = signs(text)
+                hangul = sum("가" <= c <= "힣" for c in flat)
+                run = runs.get((lang or "").strip().lower()[:2]) or runs["ko" if hangul * 2 > len(flat) else "en"]
+                width = run // 2
+                if len(flat) >= run:
+                    keep.append(i)
+                    rows.append((flat, run, width, needed_shingles(len(flat), width), Windows(flat).of(width)[::width].view(np.int64)))
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["u", "item_id", "flat", "run", "width", "needed", "hashes"])
+
+    return once.select(F.xxhash64("item_id", "text").alias("u"), "item_id", "text", "lang").mapInArrow(cut, f"u long, item_id {kind}, flat string, run int, width int, needed int, hashes array<long>")
+
+
+class Filter:
+    """A bit map of hashes: what it does not hold is none of them. Its size is bounded, whatever their number."""
+
+    def __init__(self, words: np.ndarray, values: np.ndarray, bits: int):
+        self.bits, self.map = bits, np.zeros(max(1, (1 << bits) // 64), dtype=np.uint64)
+        self.map[words] = values.view(np.uint64)
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        """Where the hashes may be held."""
+        at = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        return np.flatnonzero((self.map[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+
+
+def hash_filter(shingles: DataFrame, each: int = 10, most: int = 27) -> Filter:
+    """The filter of the column ``hash``: 2^``each`` bits a hash, but 2^``most`` at most (16 MB), so what comes to
+    the driver is bounded. With more hashes it lets more windows through, which the join then drops."""
+    many = shingles.select("hash").distinct().count()
+    bits = min(most, max(12, each + many.bit_length()))
+    place = F.shiftrightunsigned("hash", 64 - bits)
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    words = shingles.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    return Filter(words.column("word").to_numpy().astype(np.int64), words.column("bits").to_numpy().astype(np.int64), bits)
 
 
 def covered(doc: str, item: str, run: int, windows: np.ndarray, times: int = 3, share: float = 0.5) -> bool:
@@ -155,104 +159,88 @@ def covered(doc: str, item: str, run: int, windows: np.ndarray, times: int = 3,
     return False
 
 
-def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", runs: dict[str, int] | None = None, block: int = 2_000) -> DataFrame:
+def found_windows(docs: DataFrame, known: Filter, widths: list[int]) -> DataFrame:
+    """(``u``, ``width``, ``hash``, ``place``) of windows in (``u``, ``text``) that the filter holds. One pass, a few texts at a time."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = _kept()
+        for batch in batches:
+            names, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            at = 0
+            while at < len(texts):
+                end, size = at, 0
+                while end < len(texts) and (size < 400_000 or end == at):
+                    size += len(texts[end]) + 1
+                    end += 1
+                codes = _codes("\0".join(t.replace("\0", " ") for t in texts[at:end]).lower() + "\0")
+                codes = codes[kept[codes]]
+                begins = np.concatenate([[0], np.flatnonzero(codes == 0) + 1])
+                windows = Windows(codes)
+                for width in widths:
+                    own = windows.of(width)
+                    where = known.holds(own)
+                    row = np.searchsorted(begins, where, "right") - 1
+                    inside = where + width < begins[row + 1]
+                    where, row = where[inside], row[inside]
+                    if len(where):
+                        columns = [names[at:end][row], np.full(len(where), width, np.int32), own[where].view(np.int64), (where - begins[row]).astype(np.int32)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["u", "width", "hash", "place"])
+                at = end
+
+    return docs.select("u", "text").mapInArrow(find, "u long, width int, hash long, place int")
+
+
+def prefixes(shingles: DataFrame, frequency: DataFrame) -> DataFrame:
+    """(``width``, ``hash``, ``item``): of each item's shingles, ordered by rarity, those that a match cannot do
+    without: all but ``needed`` - 1."""
+    rarest = Window.partitionBy("item").orderBy(F.coalesce("many", F.lit(0)), "hash", "start")
+    ranked = shingles.join(frequency, ["width", "hash"], "left").withColumn("rank", F.row_number().over(rarest))
+    return ranked.where(F.col("rank") <= F.col("shingles") - F.col("needed") + 1).select("width", "hash", "item").distinct()
+
+
+def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", runs: dict[str, int] | None = None, max_broadcast: int = 1_000_000) -> DataFrame:
     """(``key``, ``item_id``) of every document of which a stretch repeats at least half of an item.
 
     Letters and digits count, in lower case, in repeated runs of a length set by the item's language
-    (by its script where that is missing); the stretch is no longer than three times the item. Null and
-    empty documents and items, and items shorter than a run, match nothing. Repeated documents are
-    reported under each key; repeated rows once. Clashing names do no harm: only the key and text, and
-    of the items ``item_id``, ``text`` and ``lang``, are read.
-
-    The items are taken ``block`` at a time, so what a task holds is bounded by the block and does not
-    grow with either table. For a block, a first pass counts in how many documents each of its shingles
-    occurs; the rare ones that a match needs are then looked up in the documents' windows, documents
-    with too few hits within an item-sized stretch are left out, and the rest is verified.
+    (by its script where that is missing; of several languages given for one text the greatest); the
+    stretch is no longer than three times the item. Null and empty documents and items, and items shorter
+    than a run, match nothing. Repeated documents are reported under each key; repeated rows once.
+    Clashing names do no harm: only the key and text, and of the items ``item_id``, ``text`` and ``lang``,
+    are read.
+
+    Items are a table of shingles. One pass over the documents gives the windows that a bounded filter of
+    these lets through; windows and shingles are equality-joined. How many documents have a shingle is
+    counted from these, the rare ones that a match needs give the candidates, number and position of all
+    hits bound them, and the rest is verified by its texts. Neither table is ever on the driver, and the
+    number of passes does not depend on the number of items.
     """
     runs = runs or RUNS
-    ids = items.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select("item_id", "text", "lang").distinct()
-    rows = [tuple(r) for r in ids.toLocalIterator()]
-    known = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
-    kind = dict(docs.dtypes)[key]
-    schema = f"{key} {kind}, item_id {dict(items.dtypes)['item_id']}"
-    parts = [_block(known, Items(sorted(rows[i : i + block]), runs), key, schema) for i in range(0, len(rows), block)]
-    if not parts:
-        return docs.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.union, parts).distinct()
-
-
-def _block(known: DataFrame, items: Items, key: str, schema: str) -> DataFrame:
-    def joined(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str], np.ndarray, Windows]]:
-        """Rows a few at a time: the first row, their signs, where each begins, and their common windows."""
-        texts = [signs(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (size < 500_000 or end == at):
-                size += len(texts[end]) + 1
-                end += 1
-            part = texts[at:end]
-            yield at, part, np.cumsum([0] + [len(t) + 1 for t in part]), Windows("\0".join(part) + "\0")
-            at = end
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = items.tables()
-        seen: dict[tuple[int, int], int] = {}
+    cut = checkpoint(item_shingles(items, runs))
+    each = cut.select(F.col("u").alias("item"), "width", "needed", F.size("hashes").alias("shingles"), F.length("flat").alias("length"), F.posexplode("hashes").alias("pos", "hash"))
+    shingles = each.withColumn("start", F.col("pos") * F.col("width"))
+    known = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(key, text).alias("u"), F.col(text).alias("text"))
+    hits = checkpoint(found_windows(known, hash_filter(shingles), sorted({r // 2 for r in runs.values()})).join(shingles.select("width", "hash").distinct(), ["width", "hash"], "left_semi").distinct())
+    frequency = hits.select("width", "hash", "u").distinct().groupBy("width", "hash").agg(F.count("*").alias("many"))
+    candidates = hits.join(prefixes(shingles, frequency), ["width", "hash"]).select("u", "item").distinct()
+    matched = hits.join(shingles, ["width", "hash"]).join(candidates, ["u", "item"], "left_semi")
+    placed = matched.groupBy("u", "item").agg(F.count_distinct("start").alias("starts"), F.sort_array(F.collect_list("place")).alias("places"), F.first("needed").alias("needed"), F.first("length").alias("length"))
+    # Within some stretch of three times the item there are as many hits as needed.
+    near = F.expr("exists(sequence(0, greatest(0, size(places) - needed)), i -> get(places, i + needed - 1) - get(places, i) <= 3 * length)")
+    pairs = checkpoint(placed.where((F.col("starts") >= F.col("needed")) & near).select("u", "item"))
+    few, _ = broadcast_if_small(pairs, max_broadcast)
+    texts = known.join(few, "u").join(cut.select(F.col("u").alias("item"), "item_id", "flat", "run"), "item")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, begins, windows in joined(batch):
-                for width, table in tables.items():
-                    where, which = hits(windows.of(width), table)
-                    row = np.searchsorted(begins, where, "right")
-                    for h in np.unique(np.stack([row.astype(np.uint64), which]), axis=1)[1].tolist():
-                        seen[width, h] = seen.get((width, h), 0) + 1
-        signed = np.array([h for _, h in seen], dtype=np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in seen], pa.int32()), pa.array(signed), pa.array(list(seen.values()), pa.int64())], names=["width", "shingle", "many"])
-
-    # No more rows than the block has shingles.
-    counted = known.select(F.col(known.columns[-1])).mapInArrow(count, "width int, shingle long, many long").groupBy("width", "shingle").agg(F.sum("many").alias("many")).collect()
-    frequency = {(r["width"], r["shingle"] % 2**64): r["many"] for r in counted}
-    only = items.prefix(frequency)
-    kinds = [f.dataType for f in known.sparkSession.createDataFrame([], schema).schema.fields]
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    arrow = [to_arrow_type(k) for k in kinds]
-
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, every = items.tables(only), items.tables()
-        for batch in batches:
-            keys = batch.column(0)
-            found_rows, found_items = [], []
-            for at, part, begins, windows in joined(batch):
-                for width, table in first.items():
-                    own = windows.of(width)
-                    where, _ = hits(own, table)
-                    if not len(where):
-                        continue
-                    runs_of = None
-                    for row in np.unique(np.searchsorted(begins, where, "right") - 1):
-                        inside = own[begins[row] : max(begins[row], begins[row + 1] - width)]
-                        places, which = hits(inside, every[width])
-                        by_item: dict[int, list[tuple[int, int]]] = {}
-                        for place, h in zip(places.tolist(), which.tolist(), strict=True):
-                            for item, start in items.shingles[width][h]:
-                                by_item.setdefault(item, []).append((place, start))
-                        for item, matched in by_item.items():
-                            need, flat = items.needed[item], items.texts[item]
-                            if len({s for _, s in matched}) < need or not _near(matched, need, 3 * len(flat)):
-                                continue
-                            if runs_of is None:
-                                runs_of = windows.of(2 * width)
-                            doc = part[row]
-                            if covered(doc, flat, items.runs[item], runs_of[begins[row] : begins[row] + max(0, len(doc) - 2 * width + 1)]):
-                                found_rows.append(at + int(row))
-                                found_items.append(items.ids[item])
-            if found_rows:
-                yield pa.RecordBatch.from_arrays([keys.take(pa.array(found_rows)).cast(arrow[0]), pa.array(found_items, arrow[1])], names=[key, "item_id"])
-
-    return known.mapInArrow(match, schema)
-
-
-def _near(matched: list[tuple[int, int]], need: int, room: int) -> bool:
-    """Whether some stretch of ``room`` characters holds ``need`` hits."""
-    places = sorted(p for p, _ in matched)
-    return any(places[i + need - 1] - places[i] <= room for i in range(len(places) - need + 1))
+            keep, last, doc, windows = [], None, "", {}
+            for i, (body, item, run) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)), strict=True)):
+                if body != last:
+                    last, doc, windows = body, signs(body), {}
+                if run not in windows:
+                    windows[run] = Windows(doc).of(run)
+                if covered(doc, item, run, windows[run]):
+                    keep.append(i)
+            found = batch.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([found.column(0), found.column(1)], names=[key, "item_id"])
+
+    return texts.select("key", "item_id", "text", "flat", "run").mapInArrow(verify, f"{key} {dict(docs.dtypes)[key]}, item_id {dict(items.dtypes)['item_id']}").distinct()

@@ -2,7 +2,9 @@
 
 import random
 
-from corpusloom.llm.leakage import RUNS, Items, leaks, signs
+import numpy as np
+
+from corpusloom.llm.leakage import RUNS, hash_filter, item_shingles, leaks, prefixes, signs
 
 
 def brute(docs, items):
@@ -55,9 +57,26 @@ def test_found_pairs(spark):
     assert {f for f in run(spark, docs, items) if f[1] != 93} == expected
 
 
-def test_blocks_of_items(spark):
+def test_joins_instead_of_broadcasts(spark):
     docs, items = sample(2)
-    assert run(spark, docs, items, block=3) == run(spark, docs, items)
+    assert run(spark, docs, items, max_broadcast=0) == run(spark, docs, items)
+
+
+def test_odd_runs_and_languages_given_twice(spark):
+    body = "abcdefghij klmnopqrst uvwxyz 0123456789 " * 2 + "the quick brown fox jumps over a lazy dog again"
+    docs, items = [(1, "x " * 50 + body + " y" * 50)], [(7, body, "en"), (7, body, None)]
+    for length in (43, 44, 45):
+        assert run(spark, docs, items, runs={"ko": 26, "en": length}) == {(1, 7)}
+
+
+def test_filter_is_bounded_and_misses_nothing(spark):
+    hashes = [h * 0x9E3779B97F4A7C15 % 2**64 - 2**63 for h in range(1, 3_000)]
+    frame = spark.createDataFrame([(h,) for h in hashes], "hash long")
+    values = np.array(hashes, dtype=np.int64).view(np.uint64)
+    small, usual = hash_filter(frame, most=12), hash_filter(frame)
+    assert small.map.nbytes == 512 and len(small.holds(values)) == len(usual.holds(values)) == len(hashes)
+    others = np.random.default_rng(1).integers(0, 2**63, 10_000).astype(np.uint64)
+    assert len(usual.holds(others)) < 100
 
 
 def test_empty(spark):
@@ -65,8 +84,11 @@ def test_empty(spark):
     assert run(spark, [], items) == set() and run(spark, docs, []) == set()
 
 
-def test_prefix_leaves_out_the_commonest():
-    items = Items([(1, "가" * 26 + "나" * 26 + "다" * 100, "ko")], RUNS)
-    every = {(w, h) for w, by in items.shingles.items() for h in by}
-    only = items.prefix({x: i for i, x in enumerate(sorted(every))})
-    assert items.needed == [3] and sum(map(len, only.values())) <= len(every)
+def test_prefix_leaves_out_the_commonest(spark):
+    frame = spark.createDataFrame([(1, "가" * 26 + "나" * 26 + "다" * 100, "ko")], "item_id long, text string, lang string")
+    row = item_shingles(frame, RUNS).first()
+    assert row["needed"] == 3 and len(row["hashes"]) == 11
+    rows = [(1, 13, 3, 11, at, h) for at, h in enumerate(range(11))]
+    shingles = spark.createDataFrame(rows, "item long, width int, needed int, shingles int, start int, hash long")
+    frequency = spark.createDataFrame([(13, h, h + 1) for h in range(1, 11)], "width int, hash long, many long")
+    assert {r["hash"] for r in prefixes(shingles, frequency).collect()} == set(range(9))

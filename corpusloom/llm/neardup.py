@@ -122,31 +122,6 @@ def equal_nibbles(a: Column, b: Column) -> Column:
     return 15 - F.bit_count(groups.bitwiseAND(F.lit(0x111111111111111)))
 
 
-def shape(threshold: float, miss: float = 2e-4, most: int = 128) -> tuple[int, int]:
-    """(segments, width): the longest segments, and so the rarest signatures, with which two texts exactly
-    at the threshold are missed no more often than ``miss`` and a text has at most ``most`` signatures."""
-    for width in range(12, 1, -1):
-        one = threshold**width + width * (1 - threshold) * threshold ** (width - 1)
-        segments = math.ceil(math.log(miss) / math.log(1 - one)) if one < 1 else 1
-        if segments * width <= most:
-            return segments, width
-    raise ValueError(f"no signature of at most {most} variants finds texts of similarity {threshold}")
-
-
-def _hash64(word: str) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(word)
-
-
-def sketch_bits(prints: np.ndarray) -> np.ndarray:
-    """The lowest bit of every minimum, 63 to a signed long."""
-    words = -(-prints.shape[1] // 63)
-    bits = np.zeros((len(prints), words * 63), dtype=np.int64)
-    bits[:, : prints.shape[1]] = prints & 1
-    return (bits.reshape(len(prints), words, 63) << np.arange(63, dtype=np.int64)).sum(axis=2)
-
-
 def _lists(flat: pa.Array, each: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, each, dtype=np.int32)), flat)
 
@@ -200,10 +175,12 @@ def near_duplicates(docs: DataFrame, key: str = "id", text: str = "body", shingl
     """
     segments, width = shape(threshold, miss)
     rows, groups = classes(docs, key, text, shingle)
-    members = rows.join(groups, ["a", "b"]).select("member", "rep", "comparable")
+    # Texts are hashed once; what follows reads the digests.
+    digests = checkpoint(rows.join(groups, ["a", "b"]).select("member", "a", "b", "rep", "comparable", "times"))
+    members = digests.select("member", "rep", "comparable")
     # Copies are removed by a join that leaves the texts where they are, unless very many are copies; of
     # representatives only those with several rows move, to become one.
-    spare = rows.join(groups.select("a", "b", "rep", "copies"), ["a", "b"]).where("member <> rep or times > 1").select(F.col("member").alias("k"), "a", "b", F.expr("member = rep").alias("repeated"))
+    spare = digests.where("member <> rep or times > 1").select(F.col("member").alias("k"), "a", "b", F.expr("member = rep").alias("repeated"))
     spare, _ = broadcast_if_small(spare, max_broadcast)
     known = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"))
     keyed = known.withColumn("a", F.xxhash64("t")).withColumn("b", F.xxhash64(F.lit(7), F.col("t"), F.length("t")))

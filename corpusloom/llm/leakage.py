@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.cluster import broadcast_if_small, checkpoint
+from corpusloom.llm.filters import Filter, hash_filter
 
 _OTHER = re.compile(r"[\W_]+")
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -101,30 +102,6 @@ def item_shingles(items: DataFrame, runs: dict[str, int]) -> DataFrame:
     return once.select(F.xxhash64("item_id", "text").alias("u"), "item_id", "text", "lang").mapInArrow(cut, f"u long, item_id {kind}, flat string, run int, width int, needed int, hashes array<long>")
 
 
-class Filter:
-    """A bit map of hashes: what it does not hold is none of them. Its size is bounded, whatever their number."""
-
-    def __init__(self, words: np.ndarray, values: np.ndarray, bits: int):
-        self.bits, self.map = bits, np.zeros(max(1, (1 << bits) // 64), dtype=np.uint64)
-        self.map[words] = values.view(np.uint64)
-
-    def holds(self, hashes: np.ndarray) -> np.ndarray:
-        """Where the hashes may be held."""
-        at = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
-        return np.flatnonzero((self.map[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
-
-
-def hash_filter(shingles: DataFrame, each: int = 10, most: int = 27) -> Filter:
-    """The filter of the column ``hash``: 2^``each`` bits a hash, but 2^``most`` at most (16 MB), so what comes to
-    the driver is bounded. With more hashes it lets more windows through, which the join then drops."""
-    many = shingles.select("hash").distinct().count()
-    bits = min(most, max(12, each + many.bit_length()))
-    place = F.shiftrightunsigned("hash", 64 - bits)
-    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    words = shingles.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    return Filter(words.column("word").to_numpy().astype(np.int64), words.column("bits").to_numpy().astype(np.int64), bits)
-
-
 def covered(doc: str, item: str, run: int, windows: np.ndarray, times: int = 3, share: float = 0.5) -> bool:
     """Whether a stretch of ``doc`` of at most ``times`` the item repeats ``share`` of it in runs of ``run``."""
     own = Windows(item).of(run)

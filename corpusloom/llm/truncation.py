@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.cluster import checkpoint
+from corpusloom.llm.filters import Filter, hash_filter
 
 #: Context lengths of the backward model, in characters before the end; the first level ignores the line.
 ORDERS = (2, 4, 6)
@@ -91,30 +93,35 @@ def _chunks(batches: Iterator[pa.RecordBatch], characters: int = 2_000_000) -> I
         yield rows, texts
 
 
-def _inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often the text went on, or a sentence ended, after each context inside of texts.
+def _inner(known: Filter) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """How often the text went on, or a sentence ended, after each context inside of texts that is ``known``.
 
     A sentence ends after its point; in Hangul, where the predicate shows it, before it, too. Before a
     line break, neither is known.
     """
-    for _, texts in _chunks(batches):
-        c = Contexts(texts)
-        codes, n = c.codes, len(c.codes)
-        after = np.zeros(n, dtype=np.uint32)
-        after[:-1] = codes[1:]
-        beyond = np.zeros(n, dtype=np.uint32)
-        beyond[:-2] = codes[2:]
-        plain = (codes != 32) & (codes != 10) & (codes != 0) & (after != 10) & (after != 0)
-        places = np.flatnonzero(plain)
-        points, white = [46, 33, 63, 0x3002], [32, 10, 0]
-        before = np.isin(after[places], points) & np.isin(beyond[places], white) & (c.script[places] == 1)
-        stop = before | (np.isin(codes[places], points) & (after[places] == 32))
-        for keys in c.keys(places):
-            found, many = np.unique(keys | stop.astype(np.uint64), return_counts=True)
-            ended = (found & np.uint64(1)).astype(bool)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((found & ~np.uint64(1)).view(np.int64)), pa.array(np.where(ended, many, 0)), pa.array(np.where(ended, 0, many))], names=["context", "ended", "went_on"]
-            )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _chunks(batches):
+            c = Contexts(texts)
+            codes, n = c.codes, len(c.codes)
+            after = np.zeros(n, dtype=np.uint32)
+            after[:-1] = codes[1:]
+            beyond = np.zeros(n, dtype=np.uint32)
+            beyond[:-2] = codes[2:]
+            plain = (codes != 32) & (codes != 10) & (codes != 0) & (after != 10) & (after != 0)
+            places = np.flatnonzero(plain)
+            points, white = [46, 33, 63, 0x3002], [32, 10, 0]
+            before = np.isin(after[places], points) & np.isin(beyond[places], white) & (c.script[places] == 1)
+            stop = (before | (np.isin(codes[places], points) & (after[places] == 32))).astype(np.uint64)
+            for keys in c.keys(places):
+                at = known.holds(keys)
+                found, many = np.unique(keys[at] | stop[at], return_counts=True)
+                ended = (found & np.uint64(1)).astype(bool)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((found & ~np.uint64(1)).view(np.int64)), pa.array(np.where(ended, many, 0)), pa.array(np.where(ended, 0, many))], names=["context", "ended", "went_on"]
+                )
+
+    return count
 
 
 def _final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,11 +147,13 @@ def end_scores(docs: DataFrame, text: str = "text", weight: float = 8.0) -> Data
     """
     digest = [F.xxhash64(text).alias("a"), F.xxhash64(F.lit(7), text, F.length(text)).alias("b")]
     known = docs.where(F.col(text).isNotNull() & (F.col(text) != "")).select(*digest, F.col(text).alias("t"))
-    inner = known.select("t").mapInArrow(_inner, "context long, ended long, went_on long")
     levels = [f"k{i}" for i in range(LEVELS)]
     final = checkpoint(known.mapInArrow(_final, "a long, b long, bare boolean, hangul int, " + ", ".join(f"{k} long" for k in levels)).dropDuplicates(["a", "b"]))
     each = final.select("a", "b", "bare", "hangul", F.posexplode(F.array(*levels)).alias("level", "context"))
     ends = each.groupBy("context").agg(F.count("*").alias("finals"))
+    # Of the contexts inside of texts only those move that some text ends in, but for a few the filter lets through.
+    asked = hash_filter(each.select(F.col("context").alias("hash")), each=6)
+    inner = known.select("t").mapInArrow(_inner(asked), "context long, ended long, went_on long")
     counts = inner.groupBy("context").agg(F.sum("ended").alias("ended"), F.sum("went_on").alias("went_on"))
     odds = ends.join(counts, "context", "left").select("context", "finals", F.coalesce("ended", F.lit(0)).alias("ended"), F.coalesce("went_on", F.lit(0)).alias("went_on"))
     scored = each.join(odds, "context").groupBy("a", "b", "bare", "hangul").agg(F.sort_array(F.collect_list(F.struct("level", "finals", "ended", "went_on"))).alias("levels"))
@@ -156,15 +165,47 @@ def end_scores(docs: DataFrame, text: str = "text", weight: float = 8.0) -> Data
     return scored.select("a", "b", "bare", "hangul", F.log((p + 1e-12) / (1 - p + 1e-12)).alias("log_odds"))
 
 
-def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", least: tuple[float, float] = (-3.0, -3.0)) -> DataFrame:
+def threshold(histogram: dict[float, int], rounds: int = 200) -> float:
+    """The log-odds below which a text is more likely cut than not, given how many texts have which.
+
+    The odds of a cut are the share of cut texts against that of whole ones, over the odds of an end. The
+    share is not known: it starts at one half and becomes the mean probability of a cut that follows
+    from it, until it stays. It is at least that of a single text.
+    """
+    values, many = np.array(list(histogram)), np.array(list(histogram.values()), dtype=float)
+    least, share = 1 / (many.sum() + 2), 0.5
+    for _ in range(rounds):
+        limit = math.log(share / (1 - share))
+        new = min(1 - least, max(least, float((many / (1 + np.exp(np.clip(values - limit, -500, 500)))).sum() / max(many.sum(), 1))))
+        if abs(new - share) < 1e-9:
+            break
+        share = new
+    return math.log(share / (1 - share))
+
+
+def thresholds(scores: DataFrame) -> dict[int, float]:
+    """The threshold of every script (1 for Hangul) of one column, from the ends of all its distinct texts."""
+    step = F.round(F.greatest(F.lit(-60.0), F.least(F.lit(60.0), "log_odds")) * 10) / 10
+    counted = scores.where(~F.col("bare")).groupBy("hangul", step.alias("step")).agg(F.count("*").alias("many")).collect()
+    by_script: dict[int, dict[float, int]] = {}
+    for row in counted:
+        by_script.setdefault(row["hangul"], {})[row["step"]] = row["many"]
+    return {script: threshold(found) for script, found in by_script.items()}
+
+
+def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", least: dict[int, float] | None = None) -> DataFrame:
     """Every row's key with ``log_odds`` and whether it is ``truncated``; other columns of ``docs`` are kept.
 
-    ``least`` holds the thresholds of texts in Latin script and in Hangul. Null, empty and blank texts
-    have no end to be judged: their log-odds are null and they are not truncated. Texts that consist of
-    a mark only are truncated.
+    The threshold of each script (``least``: of texts in Latin script at 0, in Hangul at 1) is fitted to
+    the scores of this column unless given. Null, empty and blank texts have no end to be judged: their
+    log-odds are null and they are not truncated. Texts that consist of a mark only are truncated.
     """
-    limit = F.when(F.col("hangul") == 1, least[1]).otherwise(least[0])
-    scores = end_scores(docs, text).select(F.col("a").alias("__a"), F.col("b").alias("__b"), F.when(~F.col("bare"), F.col("log_odds")).alias("__odds"), (F.col("bare") | (F.col("log_odds") < limit)).alias("__cut"))
+    scores = end_scores(docs, text)
+    if least is None:
+        scores = checkpoint(scores)
+        least = thresholds(scores)
+    limit = F.when(F.col("hangul") == 1, least.get(1, 0.0)).otherwise(least.get(0, 0.0))
+    scores = scores.select(F.col("a").alias("__a"), F.col("b").alias("__b"), F.when(~F.col("bare"), F.col("log_odds")).alias("__odds"), (F.col("bare") | (F.col("log_odds") < limit)).alias("__cut"))
     keyed = docs.withColumn("__a", F.xxhash64(text)).withColumn("__b", F.xxhash64(F.lit(7), text, F.length(text)))
     joined = keyed.join(scores, ["__a", "__b"], "left")
     kept = [F.col(c) for c in docs.columns if c not in ("log_odds", "truncated")]

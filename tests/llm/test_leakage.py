@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 
-from corpusloom.llm.leakage import RUNS, hash_filter, item_shingles, leaks, prefixes, signs
+from corpusloom.llm.filters import hash_filter
+from corpusloom.llm.leakage import RUNS, item_shingles, leaks, prefixes, signs
 
 
 def brute(docs, items):

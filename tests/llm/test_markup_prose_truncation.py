@@ -7,7 +7,7 @@ import pytest
 from corpusloom.llm import queries
 from corpusloom.llm.markup import KINDS, analysed, best_region, clean, content_region, fit, kinds, label_lines, learn, records, tokens
 from corpusloom.llm.prose import is_sentence, not_prose, sentence_share, text_statistics
-from corpusloom.llm.truncation import truncated, truncation_rates, without_mark
+from corpusloom.llm.truncation import threshold, truncated, truncation_rates, without_mark
 
 CONTENT = [
     "① 제1항 <개정 2020. 1. 2.> [별표 3] (단위: $, A < B)", "(경로: C:\\규정\\item_18.hwp)", "[Form 3] Fee <Deleted>", "(가 == 나, {예비} 항목 #25)", "성명: ____________", "| a | b |", "- 항목", "* 항목", "1. 하나",
@@ -112,6 +112,13 @@ def test_marks():
     assert [without_mark(t) for t in ["가나 …", "가 [cut]", "가... ", "가 (이하 생략)", "가. [별표 1] 나", "…", "끝."]] == ["가나", "가", "가", "가", "가. [별표 1] 나", "", "끝."]
 
 
+def test_thresholds_follow_the_share_of_cut_texts():
+    whole, cut = {8.0: 900, 3.0: 60, 0.0: 40}, {-12.0: 50, -7.0: 10}
+    usual = threshold(whole | cut)
+    assert -5 < usual < -1 and usual < threshold(whole | {k: 10 * n for k, n in cut.items()}) and threshold(whole) < usual
+    assert threshold({9.0: 1}) < 0 and threshold({}) == 0.0
+
+
 def test_truncated(spark):
     rng = random.Random(3)
     subject, things, verbs = ["위원회는", "회원은", "거래소가"], ["보고서를", "증명서를", "명부를", "자료를"], ["제출하여야 한다.", "보관할 수 있다.", "정정한다."]

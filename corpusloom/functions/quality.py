@@ -51,10 +51,10 @@ def replacement_count(text: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit("�"), F.lit("")))).cast("long")
 
 
-def metrics(text: Column) -> dict[str, Column]:
-    """The counters of a text; null is the empty text."""
+def metrics(text: Column, lines: Column | None = None) -> dict[str, Column]:
+    """The counters of a text; null is the empty text. ``lines`` may name a column of its lines, so they are cut once."""
     value = text_or_empty(text)
-    lines = text_lines(value)
+    lines = text_lines(value) if lines is None else lines
     return {
         "text_chars": F.length(value).cast("long"),
         "non_space_chars": non_space_length(value),

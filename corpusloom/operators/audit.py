@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import quality
-from corpusloom.functions.text import suffix, text_or_empty
+from corpusloom.functions.text import suffix, text_lines, text_or_empty
 
 REPORT_VERSION = "0.1.0"
 
@@ -30,7 +30,8 @@ def audited(attachments: DataFrame, texts: DataFrame, hints: DataFrame | None =
     Converted attachments are inspected; those without a path or text fail; failed and other ones are
     not inspected and have zero counters.
     """
-    measured = texts.where(F.col("text_path").isNotNull()).select("text_path", F.lit(True).alias("__found"), *[c.alias(n) for n, c in quality.metrics(F.col("text")).items()])
+    cut = texts.where(F.col("text_path").isNotNull()).select("text_path", "text", text_lines(text_or_empty(F.col("text"))).alias("__lines"))
+    measured = cut.select("text_path", F.lit(True).alias("__found"), *[c.alias(n) for n, c in quality.metrics(F.col("text"), F.col("__lines")).items()])
     names = [c for c in measured.columns if not c.startswith("__") and c != "text_path"]
     clean = attachments.drop(*[c for c in attachments.columns if c in (*names, "flags", "score", "quality", "route")])
     joined = clean.withColumn("__path", F.nullif(text_or_empty(F.col("text_path")), F.lit(""))).join(measured.withColumnRenamed("text_path", "__path"), "__path", "left")

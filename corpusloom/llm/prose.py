@@ -25,7 +25,11 @@ _NEW = re.compile(r"\s*(?:[•○●□■◦▪※☐\-*#=<\[{|!$\\:`~]|[①-
 #: Where a sentence ends: after a Korean predicate, or a point that a capital, sign or nothing follows.
 _END = re.compile(r"(?:(?<=[가-힣]다)(?<![마보]다)\.?|(?<=[^\s.])[.!?])(?=\s|$|[<(\[”\"’')*_~&'\\])")
 _KOREAN = re.compile(r"(?<![마보])[다][\s.!?”’\"')*_~\]]*$")
-_READABLE = re.compile(r"[0-9A-Za-z가-힣\s!-~·“”‘’…–—①-⓿○●•℃㎏㎥㎡ㆍ±×÷≤≥§°]")
+_UNREADABLE = re.compile(r"[^0-9A-Za-z가-힣\s!-~·“”‘’…–—①-⓿○●•℃㎏㎥㎡ㆍ±×÷≤≥§°]")
+_HANGUL = re.compile("[가-힣]+")
+#: Without one of these, no piece of a text is a sentence.
+POSSIBLE = "다(?![가-힣])|(?<![A-Za-z0-9_])(?:" + "|".join(_VERBS) + ")(?![A-Za-z0-9_])"
+_OPEN = re.compile(r"(?:다|[.!?:;])[”’\"')\]]*\s*$")
 _MARK = re.compile(r"^\s*(?:[•○●□■※]|[①-⓿]|\(?(?:[0-9]{1,3}|[A-Za-z]|[가-하])[.)])\s*")
 
 
@@ -35,16 +39,17 @@ def _dense(text: str) -> int:
 
 def is_sentence(piece: str) -> bool:
     """Whether a piece of text is a full, readable sentence, with or without a full stop or number."""
-    core = _TAG.sub(" ", _MARK.sub("", piece)).strip()
-    words = core.split()
-    if len(words) < 3 or len(core) < 10:
+    core = _MARK.sub("", piece)
+    if "<" in core or "&" in core:
+        core = _TAG.sub(" ", core)
+    core = core.strip()
+    if len(core) < 10 or len(words := core.split()) < 3:
         return False
-    if len(_READABLE.findall(core)) < 0.75 * len(core):
-        return False
-    hangul = sum("가" <= c <= "힣" for c in core)
-    if hangul * 3 > len(core):
-        return bool(_KOREAN.search(core))
-    return len(words) >= 5 and bool(_VERB.search(core)) and len(_COMMON.findall(core)) >= 0.2 * len(words)
+    if sum(map(len, _HANGUL.findall(core))) * 3 > len(core):
+        said = bool(_KOREAN.search(core))
+    else:
+        said = len(words) >= 5 and bool(_VERB.search(core)) and len(_COMMON.findall(core)) >= 0.2 * len(words)
+    return said and len(core) - len(_UNREADABLE.findall(core)) >= 0.75 * len(core)
 
 
 def _blocks(text: str) -> list[str]:
@@ -60,7 +65,7 @@ def _blocks(text: str) -> list[str]:
         cells = [c for c in _CELLS.split(line.strip()) if c]
         if len(cells) == 1:
             # Long enough to be wrapped text, and not at a sentence's end.
-            if len(cells[0].split()) >= 4 and not re.search(r"(?:다|[.!?:;])[”’\"')\]]*\s*$", cells[0]):
+            if len(cells[0].split()) >= 4 and not _OPEN.search(cells[0]):
                 held = cells[0]
                 continue
         out += cells
@@ -80,19 +85,19 @@ def sentence_share(text: str | None) -> float:
         for end in [*(m.end() for m in _END.finditer(block)), len(block)]:
             piece = block[at:end]
             if end > at and is_sentence(piece):
-                held += _dense(_TAG.sub(" ", piece))
+                held += _dense(_TAG.sub(" ", piece) if "<" in piece or "&" in piece else piece)
             at = max(at, end)
     return held / whole
 
 
 def sentence_share_column(text: Column) -> Column:
-    """``sentence_share`` of a column; null is 0."""
+    """``sentence_share`` of a column; null is 0. Texts in which no sentence is possible do not reach a Python worker."""
 
     @F.pandas_udf(DoubleType())
     def shares(texts: pd.Series) -> pd.Series:
         return pd.Series([sentence_share(t) for t in texts], dtype="float64")
 
-    return shares(text)
+    return shares(F.when(text.rlike(POSSIBLE), text))
 
 
 #: Published thresholds of rules on web text (word count, word length, symbols, bullets,
@@ -120,34 +125,37 @@ def text_statistics(texts: DataFrame, key: str = "text_path", text: str = "text"
     Python worker and costs nothing where it is not selected.
     """
     value = F.coalesce(F.col(text), F.lit(""))
-    base = texts.select(F.col(key), value.alias("__t"), *[c.alias(n) for n, c in quality.metrics(value).items()])
+    lined = texts.select(F.col(key), value.alias("__t"), text_lines(value).alias("__lines"))
+    base = lined.select(key, "__t", F.array_join("__lines", "\n").alias("__flat"), *[c.alias(n) for n, c in quality.metrics(F.col("__t"), F.col("__lines")).items()])
     flagged = base.withColumn("__flags", quality.flags())
-    words = F.regexp_extract_all(F.col("__t"), F.lit(r"\S+"), F.lit(0))
-    lines = text_lines(F.col("__t"))
     share = lambda part, whole: F.when(whole > 0, part / whole).otherwise(0.0)
-    counted = lambda array, test: F.size(F.filter(array, test))
-    common = F.array(*[F.lit(w) for w in dict.fromkeys(COMMON_EN + COMMON_KO)])
-    parts = flagged.withColumns({"__words": words, "__lines": lines})
-    stats = parts.select(
+    counted = lambda column, pattern: F.regexp_count(column, F.lit(pattern))
+    common = "|".join(dict.fromkeys(COMMON_EN + COMMON_KO))
+    edge = "[.,;:()“”\"']"
+    stats = flagged.withColumn("__words", counted("__t", r"\S+")).select(
         key,
         *quality.metrics(value),
         quality.score(F.col("__flags")).alias("quality_score"),
-        F.size("__words").cast("long").alias("words"),
-        share(F.col("non_space_chars"), F.size("__words")).alias("mean_word_length"),
-        share(F.regexp_count("__t", F.lit("[가-힣]")), F.col("non_space_chars")).alias("hangul_share"),
-        share(F.regexp_count("__t", F.lit(r"#|\.\.\.|…")), F.size("__words")).alias("symbol_ratio"),
-        share(F.regexp_count("__t", F.lit(r"[^\p{L}\p{N}\s]")), F.col("non_space_chars")).alias("punctuation_share"),
-        share(counted("__lines", lambda x: x.rlike(r"^\s*(?:[-*•●○■□▪※◦]|[①-⓿])\s*")), F.size("__lines")).alias("bullet_line_share"),
-        share(counted("__lines", lambda x: x.rlike(r"(?:\.\.\.|…)$")), F.size("__lines")).alias("ellipsis_line_share"),
-        share(counted("__lines", lambda x: x.rlike(r"[.!?。][\"'”’)\]]*$")), F.size("__lines")).alias("punctuated_line_share"),
-        share(counted("__words", lambda x: x.rlike(r"\p{L}")), F.size("__words")).alias("letter_word_share"),
-        counted("__words", lambda x: F.array_contains(common, F.btrim(F.lower(x), F.lit(".,;:()“”\"'")))).cast("long").alias("common_words"),
+        F.col("__words").cast("long").alias("words"),
+        share(F.col("non_space_chars"), F.col("__words")).alias("mean_word_length"),
+        share(counted("__t", "[가-힣]"), F.col("non_space_chars")).alias("hangul_share"),
+        share(counted("__t", r"#|\.\.\.|…"), F.col("__words")).alias("symbol_ratio"),
+        share(counted("__t", r"[^\p{L}\p{N}\s]"), F.col("non_space_chars")).alias("punctuation_share"),
+        share(counted("__flat", r"(?md)^[^\S\n]*(?:[-*•●○■□▪※◦]|[①-⓿])"), F.col("line_count")).alias("bullet_line_share"),
+        share(counted("__flat", r"(?md)(?:\.\.\.|…)$"), F.col("line_count")).alias("ellipsis_line_share"),
+        share(counted("__flat", r"(?md)[.!?。][\"'”’)\]]*$"), F.col("line_count")).alias("punctuated_line_share"),
+        share(counted("__t", r"(?<!\S)[^\s\p{L}]*+\p{L}"), F.col("__words")).alias("letter_word_share"),
+        counted("__t", rf"(?i)(?<!\S){edge}*+(?:{common}){edge}*+(?!\S)").cast("long").alias("common_words"),
         sentence_share_column(F.col("__t")).alias("sentence_share"),
     )
     failed = F.filter(F.array(*[F.when(F.expr(rule), F.lit(name)) for name, rule in RULES.items()]), lambda r: r.isNotNull())
     return stats.withColumn("common_word_share", share(F.col("common_words"), F.col("words"))).withColumn("failures", failed)
 
 
-def not_prose(texts: DataFrame, key: str = "text_path", text: str = "text") -> DataFrame:
-    """The keys of texts that fail the rule on sentences. See ``text_statistics``."""
-    return text_statistics(texts, key, text).where(F.expr(RULES["few_sentences"])).select(key)
+def not_prose(texts: DataFrame, key: str = "text_path", text: str = "text", decisive: tuple[str, ...] = ("few_sentences",)) -> DataFrame:
+    """(``key``, ``failures``) of the texts that fail one of the ``decisive`` rules, with all rules that they fail.
+
+    Every statistic and rule of ``text_statistics`` is computed for every text; which ones decide is a
+    matter of what prose is. Here it is text whose sentences hold at least half of it.
+    """
+    return text_statistics(texts, key, text).where(F.arrays_overlap("failures", F.array(*map(F.lit, decisive)))).select(key, "failures")

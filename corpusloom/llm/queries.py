@@ -73,7 +73,7 @@ def p6_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attachment texts that are not natural prose."""
-    return not_prose(table(spark, sf_dir, "attachment_texts")).distinct()
+    return not_prose(table(spark, sf_dir, "attachment_texts")).select("text_path").distinct()
 
 
 def p7_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,9 +153,12 @@ def text_statistics(texts: DataFrame, key: str = "text_path", text: str = "text"
 
 
 def not_prose(texts: DataFrame, key: str = "text_path", text: str = "text", decisive: tuple[str, ...] = ("few_sentences",)) -> DataFrame:
-    """(``key``, ``failures``) of the texts that fail one of the ``decisive`` rules, with all rules that they fail.
+    """(``key``, ``reason``, ``failures``) of the texts that fail one of the ``decisive`` rules, a row for each of these,
+    with all rules that they fail.
 
     Every statistic and rule of ``text_statistics`` is computed for every text; which ones decide is a
     matter of what prose is. Here it is text whose sentences hold at least half of it.
     """
-    return text_statistics(texts, key, text).where(F.arrays_overlap("failures", F.array(*map(F.lit, decisive)))).select(key, "failures")
+    # Unfolded first: a condition on the array itself would be pushed down and compute the statistics again.
+    reasons = text_statistics(texts, key, text).select(key, "failures", F.explode_outer("failures").alias("reason"))
+    return reasons.where(F.col("reason").isin(*decisive)).select(key, "reason", "failures")

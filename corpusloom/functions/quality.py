@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import WS, non_space_length, text_lines, text_or_empty
 
-#: What counts as a hint of a formula.
-FORMULA = (
-    r"(?U)(?:≤|≥|≠|±|×|÷|√|∑|∫|∞|∂|→|←|"
+#: What counts as a hint of a formula, signs and phrases. No phrase holds a sign.
+FORMULA_SIGNS = "≤≥≠±×÷√∑∫∞∂→←"
+FORMULA_PHRASES = (
     r"\b[A-Za-z]\s*[=<>]\s*[-+0-9A-Za-z(]|[0-9]\s*[+\-*/]\s*[0-9]|"
     r"\b(?:hat|sum|Isum|LEFT|RIGHT|over|sqrt|root|matrix|dmatrix)\b|"
-    r"수식\s+\d+:|```hwp-equation)"
+    r"수식\s+\d+:|```hwp-equation"
 )
 #: Penalties of the flags, in the order in which flags are listed.
 SHORT, LONG_LINE = 40, 1200
@@ -44,7 +44,10 @@ def table_row_count(lines: Column) -> Column:
 
 
 def formula_hint_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(FORMULA)).cast("long")
+    # What either begins with is tested first; it tells most characters apart.
+    signs = F.regexp_count(text, F.lit(rf"(?=[±×÷\u2190-\u2265])[{FORMULA_SIGNS}]"))
+    phrases = F.regexp_count(text, F.lit(rf"(?U)(?=[A-Za-z0-9`수])(?:{FORMULA_PHRASES})"))
+    return (signs + phrases).cast("long")
 
 
 def replacement_count(text: Column) -> Column:

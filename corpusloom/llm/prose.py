@@ -138,7 +138,7 @@ def text_statistics(texts: DataFrame, key: str = "text_path", text: str = "text"
         quality.score(F.col("__flags")).alias("quality_score"),
         F.col("__words").cast("long").alias("words"),
         share(F.col("non_space_chars"), F.col("__words")).alias("mean_word_length"),
-        share(counted("__t", "[가-힣]"), F.col("non_space_chars")).alias("hangul_share"),
+        share(F.length("__t") - F.length(F.regexp_replace("__t", "[가-힣]+", "")), F.col("non_space_chars")).alias("hangul_share"),
         share(counted("__t", r"#|\.\.\.|…"), F.col("__words")).alias("symbol_ratio"),
         share(counted("__t", r"[^\p{L}\p{N}\s]"), F.col("non_space_chars")).alias("punctuation_share"),
         share(counted("__flat", r"(?md)^[^\S\n]*(?:[-*•●○■□▪※◦]|[①-⓿])"), F.col("line_count")).alias("bullet_line_share"),

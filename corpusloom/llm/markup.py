@@ -75,23 +75,28 @@ def tokens(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def learn(pages: Iterable[tuple[str, list[bool]]]) -> dict[str, float]:
-    """Weights of the features from pages whose lines are labelled as content or not: their log-odds, with
-    words held positive and marks negative."""
-    counts = {True: Counter(), False: Counter()}
-    for text, labels in pages:
-        for line, label in zip(text.split("\n"), labels, strict=True):
-            counts[label].update(f for f, _, _ in tokens(line))
-    totals = {label: sum(c.values()) + 1 for label, c in counts.items()}
+def feature_counts(text: str, labels: list[bool]) -> Counter:
+    """How often each (label, feature) occurs in the lines of a page."""
+    return Counter((label, f) for line, label in zip(text.split("\n"), labels, strict=True) for f, _, _ in tokens(line))
+
+
+def feature_weights(counts: dict[tuple[bool, str], int]) -> dict[str, float]:
+    """Weights of the features: their log-odds on lines of content, with words held positive and marks negative."""
+    totals = {label: sum(n for (own, _), n in counts.items() if own == label) + 1 for label in (True, False)}
     weights = {}
-    for feature in counts[True] | counts[False]:
-        odds = math.log((counts[True][feature] + 1) / totals[True]) - math.log((counts[False][feature] + 1) / totals[False])
+    for feature in sorted({f for _, f in counts}):
+        odds = math.log((counts.get((True, feature), 0) + 1) / totals[True]) - math.log((counts.get((False, feature), 0) + 1) / totals[False])
         # Wrappers of words are marks, but no sign of noise.
         least = -8.0 if feature.startswith("html") else -1.0
         weights[feature] = max(0.2, odds) if feature == "word" else max(least, min(-0.2, odds))
     return weights
 
 
+def learn(pages: Iterable[tuple[str, list[bool]]]) -> dict[str, float]:
+    """Weights of the features from pages whose lines are labelled as content or not."""
+    return feature_weights(sum((feature_counts(text, labels) for text, labels in pages), Counter()))
+
+
 def label_lines(text: str) -> list[bool]:
     """Labels of a page's lines for training: content has at least three words outside of its marks, or
     is a heading, item, row or formula; scripts, styles, comments and lone tags are not."""
@@ -228,11 +233,24 @@ def records(docs: DataFrame, key: str, text: str, kind: str) -> DataFrame:
 
 
 def fit(texts: DataFrame, sample: int = 2_000) -> dict[str, float]:
-    """Weights from the ``sample`` marked texts with the least digests: the same for the same texts, and
-    bounded whatever their number. They only place the content region; kinds are found in all texts."""
-    marked = texts.where(F.col("text").rlike(CANDIDATE))
-    chosen = marked.select("text").orderBy(F.xxhash64("text"), "text").limit(sample)
-    return learn((r["text"], label_lines(r["text"])) for r in chosen.collect())
+    """Weights from the ``sample`` different marked texts with the least digests: the same for the same texts, and
+    bounded whatever their number. They only place the content region; kinds are found in all texts.
+
+    To the driver come digests, then counts of features (some hundred), but no text.
+    """
+    marked = texts.where(F.col("text").rlike(CANDIDATE)).select("text", F.xxhash64("text").alias("digest"))
+    least = marked.select("digest").distinct().orderBy("digest").limit(sample).agg(F.max("digest")).first()[0]
+    if least is None:
+        return {}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = sum((feature_counts(t, label_lines(t)) for t in batch.column(0).to_pylist()), Counter())
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.bool_()), pa.array([f for _, f in found], pa.string()), pa.array(list(found.values()), pa.int64())], names=["label", "feature", "n"])
+
+    chosen = marked.where(F.col("digest") <= least).dropDuplicates(["digest"]).select("text")
+    counted = chosen.mapInArrow(count, "label boolean, feature string, n long").groupBy("label", "feature").agg(F.sum("n").alias("n")).collect()
+    return feature_weights({(r["label"], r["feature"]): r["n"] for r in counted})
 
 
 def analysed(texts: DataFrame, weights: dict[str, float], with_text: bool = True) -> DataFrame:

@@ -19,6 +19,7 @@ from corpusloom.sources.corpus import load_documents, load_files, write_document
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="corpusloom")
     commands = parser.add_subparsers(dest="command", required=True)
+    # The names of commands, options and choices are the interface.
     data = os.getenv("CORPUS_DATA_DIR", "data")
     sync = commands.add_parser("sync", help="collect documents from the saved answers of a portal")
     sync.add_argument("--replay-dir", default=os.getenv("CORPUS_REPLAY_DIR", "replay"))
@@ -32,7 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     validate = commands.add_parser("validate", help="check documents, attachments and their files")
     validate.add_argument("--quality", action="store_true")
     quality = commands.add_parser("quality", help="audit converted texts")
-    quality.add_argument("--output", default=os.getenv("CORPUS_REPORT", ""))
+    quality.add_argument("--output", default=os.getenv("CORPUS_REPORT", ""), help="where the report goes; reports/data-quality.json below the data unless given, - to show it")
     quality.add_argument("--update-metadata", action="store_true")
     quality.add_argument("--fail-on", choices=("none", "error", "warn"), default="none")
     clean = commands.add_parser("clean", help="remove attachments and files that are not wanted")
@@ -80,12 +81,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return int(errors > 0)
     if args.command == "quality":
         documents, done = pipeline.corpus_audit(spark, root)
-        done = checkpoint(done.withColumn("attachment_id", F.col("id")))
+        done = checkpoint(done)
         found = audit.issues(done)
         text = audit.report(documents, done, found).select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("r")).first()["r"]
-        if args.output:
-            os.makedirs(os.path.dirname(os.path.abspath(args.output)), exist_ok=True)
-            with open(args.output, "w", encoding="utf-8") as file:
+        output = args.output or os.path.join(root, "reports", "data-quality.json")
+        if output != "-":
+            os.makedirs(os.path.dirname(os.path.abspath(output)), exist_ok=True)
+            with open(output, "w", encoding="utf-8") as file:
                 file.write(text + "\n")
         else:
             print(text)

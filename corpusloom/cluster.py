@@ -22,12 +22,14 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut the lineage of ``df`` in the folder that all executors share.
 
     The cluster names it in ``spark.checkpoint.dir``; a folder of our own is set only where that is
-    unset, as in tests. The data is written to files, so it survives the loss of an executor.
+    unset and all runs in one process, as in tests; on a cluster that is an error. The data is written to files, so it survives the loss of an executor.
     """
     spark = df.sparkSession
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not configured and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix=f"checkpoint-{os.getpid()}-"))
     return df.checkpoint(eager)
 

@@ -17,6 +17,14 @@ from corpusloom.functions.text import first_non_empty, hash_text, normalize_date
 NOTICE_HEADING, CONTENT_LABEL, EFFECTIVE_LABEL = "예고", "내용", "시행일"
 NOTICE_CATEGORY = "규정 제·개정예고"
 RULE_PATH, NOTICE_PATH, DOWNLOAD_PATH = "/out/regulation/regulationViewPop.do", "/out/pds/pdsViewPop.do", "/Download.do"
+#: The three ways in which the page's scripts write a version's id.
+STATE_PATTERNS = (
+    r"""obj\.put\(["']statehistoryid["']\s*,\s*["']([^"']+)["']""",
+    r"""name\s*:\s*["']statehistoryid["']\s*,\s*value\s*:\s*["']([^"']+)["']""",
+    r"""statehistoryid\s*:\s*["']([^"']+)["']""",
+)
+#: The tags that carry direct downloads, in the order in which they count, and those that list files.
+DIRECT_TAGS, LISTED_TAGS = ("span", "a", "li", "p"), ("li", "span")
 _DATE = r"([0-9]{4}\s*[.\-/]\s*[0-9]{1,2}\s*[.\-/]\s*[0-9]{1,2})"
 
 
@@ -89,13 +97,7 @@ def recent_items(pages: DataFrame, body: str = "html") -> DataFrame:
 
 def state_history_id(body: Column) -> Column:
     """The id of a rule's version in a page's scripts: the first of three ways of writing it."""
-    q = "[\"']"
-    patterns = [
-        rf"obj\.put\({q}statehistoryid{q}\s*,\s*{q}([^\"']+){q}",
-        rf"name\s*:\s*{q}statehistoryid{q}\s*,\s*value\s*:\s*{q}([^\"']+){q}",
-        rf"statehistoryid\s*:\s*{q}([^\"']+){q}",
-    ]
-    return first_non_empty(*[first_match(p, body) for p in patterns])
+    return first_non_empty(*[first_match(p, body) for p in STATE_PATTERNS])
 
 
 def _tags(body: Column) -> Column:
@@ -105,9 +107,9 @@ def _tags(body: Column) -> Column:
             F.filter(F.regexp_extract_all(body, F.lit(rf"""(?is)<{tag}\b[^>]*onclick=["'][^"']*\bdownFile\s*\([^>]*>.*?</{tag}>"""), F.lit(0)), lambda t: ~F.contains(t, F.lit("downFileView"))),
             lambda t: F.struct(F.lit(True).alias("direct"), t.alias("tag")),
         )
-        for tag in ("span", "a", "li", "p")
+        for tag in DIRECT_TAGS
     ]
-    listed = [F.transform(elements_by_class(body, tag, "filename"), lambda t: F.struct(F.lit(False).alias("direct"), t.alias("tag"))) for tag in ("li", "span")]
+    listed = [F.transform(elements_by_class(body, tag, "filename"), lambda t: F.struct(F.lit(False).alias("direct"), t.alias("tag"))) for tag in LISTED_TAGS]
     return F.concat(*direct, *listed)
 
 

@@ -88,21 +88,29 @@ def is_generic_name(value: Column) -> Column:
     return (bare == "") | bare.isin("download", "attachment", "file") | bare.rlike("^[0-9]{8,}[0-9a-z]*$")
 
 
+def attachment_stem(title: Column, file_name: Column, attachment_id: Column) -> Column:
+    """What a converted attachment is named after: its title, else its file's name, unless these say nothing;
+    else its id, else ``attachment``."""
+    base = F.element_at(F.split(F.regexp_replace(text_or_empty(file_name), "/+$", ""), "/"), -1)
+    own = clean_title(F.left(base, F.length(base) - F.length(suffix(file_name))))
+    named = clean_title(title)
+    useful = lambda c: F.when((c != "") & ~is_generic_name(c), c)
+    return F.coalesce(useful(named), useful(own), F.nullif(text_or_empty(attachment_id), F.lit("")), F.lit("attachment"))
+
+
 def truncate_bytes(name: Column, limit: int) -> Column:
-    """A file name of at most ``limit`` UTF-8 bytes: the stem gives way, at a character's boundary."""
+    """A file name of at most ``limit`` UTF-8 bytes: the stem gives way, at a character's boundary.
+
+    Of the stem at least one byte may stay, however long the suffix; where nothing of it does, it
+    is ``attachment``.
+    """
     end = suffix(name)
     stem = F.left(name, F.length(name) - F.length(end))
-    room = F.lit(limit) - F.octet_length(end)
-    bytes_of = lambda c: F.octet_length(c)
-    kept = F.aggregate(
-        F.split(stem, ""),
-        F.struct(F.lit("").alias("text"), F.lit(True).alias("open")),
-        lambda acc, c: F.when(acc["open"] & (bytes_of(acc["text"]) + bytes_of(c) <= room), F.struct(F.concat(acc["text"], c).alias("text"), F.lit(True).alias("open"))).otherwise(
-            F.struct(acc["text"].alias("text"), F.lit(False).alias("open"))
-        ),
-        lambda acc: F.rtrim(acc["text"], F.lit(" ._-")),
-    )
-    return F.when(F.octet_length(name) <= limit, name).otherwise(F.concat(kept, end))
+    room = F.greatest(F.lit(1), F.lit(limit) - F.octet_length(end))
+    # The longest prefix that fits: of the first characters, no more than bytes there are.
+    fits = F.filter(F.sequence(F.lit(0), F.least(F.length(stem), room)), lambda n: F.octet_length(F.left(stem, n)) <= room)
+    kept = F.rtrim(F.left(stem, F.array_max(fits)), F.lit(" ._-"))
+    return F.when(F.octet_length(name) <= limit, name).otherwise(F.concat(F.coalesce(F.nullif(kept, F.lit("")), F.lit("attachment")), end))
 
 
 def tokens(value: Column) -> Column:

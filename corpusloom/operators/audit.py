@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom import schema
 from corpusloom.functions import quality
 from corpusloom.functions.text import suffix, text_lines, text_or_empty
 
@@ -76,10 +77,19 @@ def issues(audit: DataFrame) -> DataFrame:
     return rows.withColumn("severity", severity).withColumn("message", message)
 
 
+def issue_rows(found: DataFrame) -> DataFrame:
+    """Issues as they are listed, with the fields of ``schema.ISSUE``; ``found`` has ``document_title`` and an attachment's columns."""
+    given = {"attachment_id": F.col("id"), "attachment_title": F.col("title")}
+    return found.select(*[text_or_empty(given.get(f.name, F.col(f.name))).alias(f.name) for f in schema.ISSUE.fields])
+
+
 def failures(found: DataFrame, fail_on: str) -> DataFrame:
-    """Issues that reach a threshold (``none``, ``error``, ``warn``), each with a ``line`` to show."""
+    """Issues that reach a threshold (``none``, ``error``, ``warn``), each with a ``line`` to show.
+
+    ``found`` has ``document_id`` and an attachment's ``id``.
+    """
     severities = {"none": [], "error": ["error"], "warn": ["error", "warn"]}[fail_on]
-    line = F.format_string("%s: %s %s: %s", F.col("severity"), F.col("document_id"), F.col("code"), F.col("message"))
+    line = F.format_string("%s: %s %s/%s: %s", "severity", "code", text_or_empty(F.col("document_id")), text_or_empty(F.col("id")), "message")
     return found.where(F.col("severity").isin(severities) if severities else F.lit(False)).withColumn("line", line)
 
 
@@ -98,21 +108,30 @@ def length_summary(rows: DataFrame, length: Column, *by: str) -> DataFrame:
     return value.groupBy(*by).agg(F.count("__n").alias("count"), whole(F.min("__n")).alias("min"), whole(F.percentile("__n", F.lit(0.5))).alias("median"), whole(F.max("__n")).alias("max"))
 
 
-def report(documents: DataFrame, audit: DataFrame, found: DataFrame, max_issues: int = 1_000_000) -> DataFrame:
+def report(documents: DataFrame, audit: DataFrame, found: DataFrame, generated_at: Column | None = None, max_issues: int = 1_000_000) -> DataFrame:
     """The report as one row: counts as maps, the length summary, and the issues as one array.
 
-    One row is the report's form, so its issues are refused beyond ``max_issues``; ``issues`` has them all.
+    One row is the report's form, so its issues are refused beyond ``max_issues``; ``issue_rows`` has them
+    all, a row each. ``found`` has ``document_title``.
     """
+    fields = [f.name for f in schema.ISSUE.fields]
     by_kind = counts(audit).groupBy("kind").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "many")))).alias("m"))
     maps = by_kind.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("kind", "m"))).alias("maps"))
-    lengths = length_summary(audit.where("route = 'inspected'"), F.col("text_chars")).select(F.struct("count", "min", "median", "max").alias("text_length"))
-    number = found.limit(max_issues + 1).groupBy().agg(F.count("*").alias("n_issues"))
-    listed = found.limit(max_issues).groupBy().agg(F.sort_array(F.collect_list(F.struct("document_id", "attachment_id", "flag_pos", "severity", "code", "message"))).alias("issues"))
+    lengths = length_summary(audit.where("route = 'inspected'"), F.col("text_chars")).select(F.struct("count", "min", "median", "max").alias("converted_text_chars"))
+    rows = found.select(F.struct(F.col("document_id"), F.col("id").alias("attachment_id"), F.col("flag_pos")).alias("o"), F.struct(*[text_or_empty({"attachment_id": F.col("id"), "attachment_title": F.col("title")}.get(n, F.col(n))).alias(n) for n in fields]).alias("i"))
+    number = rows.limit(max_issues + 1).groupBy().agg(F.count("*").alias("n_issues"))
+    listed = rows.limit(max_issues).groupBy().agg(F.transform(F.sort_array(F.collect_list(F.struct("o", "i"))), lambda x: x["i"]).alias("issues"))
     totals = documents.groupBy().agg(F.count("*").alias("documents")).crossJoin(audit.groupBy().agg(F.count("*").alias("attachments")))
     one = totals.crossJoin(maps).crossJoin(lengths).crossJoin(number).crossJoin(listed)
     checked = F.when(F.col("n_issues") > max_issues, F.raise_error(F.lit("too many issues for one report")).cast("string")).otherwise(F.lit(REPORT_VERSION))
-    part = lambda k: F.coalesce(F.try_element_at("maps", F.lit(k)), F.create_map().cast("map<string,bigint>")).alias(k)
-    return one.select(checked.alias("version"), F.struct("documents", "attachments", part("status"), part("extension"), part("quality"), "text_length").alias("summary"), "issues")
+    part = lambda kind, name: F.coalesce(F.try_element_at("maps", F.lit(kind)), F.create_map().cast("map<string,bigint>")).alias(name)
+    summary = F.struct("documents", "attachments", part("status", "attachment_status"), part("extension", "attachment_extensions"), part("quality", "quality_status"), "converted_text_chars")
+    return one.select(checked.alias("version"), (now() if generated_at is None else generated_at).alias("generated_at"), summary.alias("summary"), "issues")
+
+
+def now() -> Column:
+    """The time of the query, as it is written in reports and documents."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def written_back(documents: DataFrame, audit: DataFrame) -> DataFrame:

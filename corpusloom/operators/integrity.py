@@ -82,6 +82,22 @@ def drop_attachments(documents: DataFrame, full_text: bool = False, past_rule: b
     return documents.withColumn("__kept", kept).withColumn("removed", F.size("attachments") - F.size("__kept")).withColumn("attachments", F.col("__kept")).drop("__kept")
 
 
+def excluded_children(children: DataFrame, full_text: bool = False, past_rule: bool = False) -> DataFrame:
+    """The attachments, a row each with their ``document_type``, that ``drop_attachments`` would take out."""
+    of = [F.col(c) for c in ("title", "file_name", "server_file", "id")]
+    out = F.lit(False)
+    if full_text:
+        out = out | is_full_text(*of)
+    if past_rule:
+        out = out | ((F.col("document_type") == "rule") & is_past_rule(*of))
+    return children.where(out)
+
+
+def child_drop_counts(excluded: DataFrame) -> DataFrame:
+    """``removed`` attachments and ``changed`` documents, of rows with ``document_id``: partial sums, no nesting."""
+    return excluded.groupBy("document_id").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("removed"), F.count("*").alias("changed"))
+
+
 def drop_counts(dropped: DataFrame) -> DataFrame:
     """``removed`` attachments and ``changed`` documents of a ``drop_attachments``."""
     return dropped.agg(F.coalesce(F.sum("removed"), F.lit(0)).alias("removed"), F.count_if(F.col("removed") > 0).alias("changed"))

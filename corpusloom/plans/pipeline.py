@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 import os
 from collections.abc import Iterator
@@ -14,7 +15,7 @@ from corpusloom import schema
 from corpusloom.cluster import checkpoint
 from corpusloom.convert import converted
 from corpusloom.functions import pages
-from corpusloom.functions.text import clean_title, is_generic_name, slug, suffix, truncate_bytes
+from corpusloom.functions.text import attachment_stem, hash_text, slug, strip, suffix, truncate_bytes
 from corpusloom.operators import audit, integrity, ordered
 from corpusloom.sources.corpus import bundle_dir, load_documents, load_files, write_documents
 from corpusloom.sources.portal import PortalReplay
@@ -34,25 +35,22 @@ def items(spark: SparkSession, replay: str, limit: int = 0, rule_id: str = "", r
     recent = pages.recent_items(load("pages").where("document_type = 'home'"))
     rules = load("items")
     # The tree's limit comes before the order by date, the limit of all items after both.
-    latest = F.row_number().over(_order([F.desc("effective_date"), "ord"])).cast("long")
-    ranked = rules.withColumn("ord", latest)
+    # Latest first, then in the tree's order: one number a rule, without a window over all.
+    part = lambda i: F.coalesce(F.try_element_at(F.split("effective_date", "-"), F.lit(i)).try_cast("int"), F.lit(0))
+    day = F.greatest(F.lit(0), F.least(F.lit((1 << 16) - 1), (part(1) - 1900) * 372 + part(2) * 31 + part(3)))
+    ranked = rules.withColumn("ord", ((1 << 16) - 1 - day).cast("long") * (1 << 24) + F.col("ord"))
     chosen = ordered.collected_items(ranked, recent.where("document_type = 'notice'") if language in ("all", "ko") else recent.limit(0), language, recent if recent_only else None)
     return ordered.first_wins(ordered.limited(chosen, limit), ["document_type", "id"], ["ord"])
 
 
-def _order(by: list):
-    from pyspark.sql import Window
-
-    # The items of one portal: a crawl's work list, read by one session anyway.
-    return Window.partitionBy(F.lit(0)).orderBy(*by)
-
-
 def sync(spark: SparkSession, replay: str, root: str, base_url: str = "", download: bool = False, **choice) -> dict[str, int]:
     """Documents of the chosen items from their saved pages, written as bundles, with their attachments.
 
     A page that is not there leaves its item out; a file that is not there, is no file or cannot be
-    converted is a failed attachment with its reason.
+    converted is a failed attachment with its reason. Rules whose English text is there and can be
+    converted get an English twin, unless only Korean is wanted; with only English, nothing else is written.
     """
+    language = choice.get("language", "all") or "all"
     chosen = checkpoint(items(spark, replay, **choice))
     saved = spark.read.format("portal_replay").option("what", "pages").load(replay)
     found = chosen.join(saved.select("document_type", "id", "html"), ["document_type", "id"])
@@ -69,12 +67,35 @@ def sync(spark: SparkSession, replay: str, root: str, base_url: str = "", downlo
         if field.name not in joined.columns:
             joined = joined.withColumn(field.name, F.lit(""))
     whole = checkpoint(joined.select(*[f.name for f in schema.DOCUMENT.fields]))
-    return {"items": chosen.count(), "documents": write_documents(whole, root)}
+    written = 0 if language == "en" else write_documents(whole, root)
+    if language != "ko":
+        written += write_documents(_english(spark, replay, root, whole.where("document_type = 'rule'")), root)
+    return {"items": chosen.count(), "documents": written}
+
+
+def _english(spark: SparkSession, replay: str, root: str, rules: DataFrame) -> DataFrame:
+    """English twins of rules, of saved English files that can be converted; their files are written."""
+    files = spark.read.format("portal_replay").option("what", "english").load(replay).withColumnRenamed("id", "source_id").withColumnRenamed("file_name", "english_name")
+    own = strip(F.left("english_name", F.length("english_name") - F.length(suffix(F.col("english_name")))))
+    twins = rules.drop("file_name", "raw_path", "text_path", "content_hash", "attachments", "body", "source_id", "path").withColumnRenamed("id", "source_id").join(files, "source_id")
+    titled = twins.withColumns({"id": ordered.exists_twin(F.col("source_id")), "title": F.coalesce(F.nullif(own, F.lit("")), F.concat("title", F.lit(" (English)"))), "language": F.lit("en"), "document_type": F.lit("rule"), "file_name": F.col("english_name")})
+    # The file is an attachment titled so; its name follows the rule of attachments.
+    stem = slug(attachment_stem(F.lit("English full text"), F.col("english_name"), F.col("id")))
+    folder = bundle_dir(F.lit("en"), F.lit("rule"), F.col("title"))
+    placed = titled.withColumns({
+        "raw_path": F.concat_ws("/", folder, F.lit("raw"), truncate_bytes(F.concat(stem, F.coalesce(F.nullif(suffix(F.col("english_name")), F.lit("")), F.lit(".bin"))), RAW_BYTES)),
+        "text_path": F.concat_ws("/", folder, F.lit("attachments"), truncate_bytes(F.concat(stem, F.lit(".md")), TEXT_BYTES)),
+    })
+    done = checkpoint(converted(placed, path="raw_path").where("status = 'converted'"))
+    _write_files(done.select(F.col("raw_path").alias("path"), "content"), root)
+    _write_files(done.select(F.col("text_path").alias("path"), F.encode("text", "UTF-8").alias("content")), root)
+    filled = done.withColumns({"body": strip(F.col("text")), "file_content_hash": F.col("content_hash"), "attachments": F.array().cast(schema.DOCUMENT["attachments"].dataType), "path": F.lit("")})
+    return filled.withColumn("content_hash", hash_text(F.concat("title", F.lit("\n"), "body"))).select(*[f.name for f in schema.DOCUMENT.fields])
 
 
 def _download(spark: SparkSession, replay: str, root: str, named: DataFrame) -> DataFrame:
     """Attachments with their files written and converted: names are unique within a document."""
-    stem = F.when((clean_title(F.col("title")) != "") & ~is_generic_name(clean_title(F.col("title"))), clean_title(F.col("title"))).otherwise(F.col("id"))
+    stem = attachment_stem(F.col("title"), F.col("file_name"), F.col("id"))
     ending = F.coalesce(F.nullif(suffix(F.col("file_name")), F.lit("")), F.nullif(suffix(F.col("server_file")), F.lit("")), F.lit(".bin"))
     proposed = named.withColumn("raw_name", truncate_bytes(F.concat(slug(stem), ending), RAW_BYTES)).withColumn("text_name", truncate_bytes(F.concat(slug(stem), F.lit(".md")), TEXT_BYTES))
     raw = ordered.unique_names(proposed, "document_id", "pos", "raw_name", RAW_BYTES).select("document_id", "pos", F.col("unique_name").alias("raw_unique"))
@@ -134,7 +155,8 @@ def write_manifest(documents: DataFrame, root: str, source: str | None = None) -
     if os.path.exists(path):
         with open(path, encoding="utf-8") as file:
             old = json.load(file)
-    head = {"version": old.get("version", VERSION), "source": source if source is not None else old.get("source", "")}
+    now = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    head = {"version": old.get("version", VERSION), "generated_at": now, "source": source if source is not None else old.get("source", "")}
     body = documents.drop("body").select(F.to_json(F.struct("*")).alias("d"), F.col("attachments"))
     log = documents.select(F.explode("attachments").alias("a")).select(F.to_json("a").alias("a"))
     with open(path + ".new", "w", encoding="utf-8") as out:

@@ -6,10 +6,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.cluster import table
+from corpusloom.cluster import checkpoint, table
 from corpusloom.convert import converted, equation_to_latex
 from corpusloom.functions import html, policy, quality, text
 from corpusloom.operators import audit, integrity, ordered
@@ -18,7 +20,7 @@ from corpusloom.sources.corpus import bundle_dir, render_markdown
 _WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _NL = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 _STRIP = lambda c: f"regexp_replace({c}, '^{_WS}+|{_WS}+$', '', 'g')"
-#: The formula pattern for an engine whose word boundary knows ASCII only.
+#: The formula pattern, for an engine whose word boundary knows ASCII only.
 _FORMULA = (
     r"≤|≥|≠|±|×|÷|√|∑|∫|∞|∂|→|←|\b[A-Za-z]\s*[=<>]\s*[-+0-9A-Za-z(]|[0-9]\s*[+\-*/]\s*[0-9]|"
     r"\b(?:hat|sum|Isum|LEFT|RIGHT|over|sqrt|root|matrix|dmatrix)\b|수식\s+\d+:|```hwp-equation"
@@ -109,10 +111,40 @@ def formula_hints(spark, sf_dir):
     return table(spark, sf_dir, "attachment_texts").select("text_path", quality.formula_hint_count(text.text_or_empty(F.col("text"))).alias("hints")).where("hints > 0")
 
 
+def _audited(spark, sf_dir):
+    return audit.audited(table(spark, sf_dir, "attachments"), table(spark, sf_dir, "attachment_texts"))
+
+
+def _titled(spark, sf_dir):
+    """The issues of all attachments, with their documents' titles."""
+    titles = table(spark, sf_dir, "rule_docs").groupBy(F.col("id").alias("document_id")).agg(F.min("title").alias("document_title"))
+    return audit.issues(_audited(spark, sf_dir)).join(titles, "document_id", "left")
+
+
 def fail_on_warn(spark, sf_dir):
     """FLT-10: the issues that reach the threshold ``warn``, as lines."""
-    found = _issues(spark, sf_dir).withColumn("document_id", F.col("text_path"))
-    return audit.failures(found, "warn").select("text_path", "line")
+    return audit.failures(audit.issues(_audited(spark, sf_dir)), "warn").select("ord", "flag_pos", "line")
+
+
+def fail_on_error(spark, sf_dir):
+    """FLT-10: the issues that reach the threshold ``error``, as lines."""
+    return audit.failures(audit.issues(_audited(spark, sf_dir)), "error").select("ord", "flag_pos", "line")
+
+
+def issue_rows(spark, sf_dir):
+    """SNK-09: the issues with all fields of a recorded one."""
+    return audit.issue_rows(_titled(spark, sf_dir))
+
+
+def report_summary(spark, sf_dir):
+    """AGG-01, SNK-05, SRT-03: the numbers of the report, a row each, and how many issues it lists."""
+    done = _audited(spark, sf_dir)
+    one = checkpoint(audit.report(table(spark, sf_dir, "rule_docs"), done, _titled(spark, sf_dir), F.lit("")))
+    rows = [one.select(F.lit(m).alias("section"), F.explode(f"summary.{m}").alias("name", "many")) for m in ("attachment_status", "attachment_extensions", "quality_status")]
+    single = [("converted_text_chars", n, F.col(f"summary.converted_text_chars.{n}")) for n in ("count", "min", "median", "max")]
+    single += [("totals", n, F.col(f"summary.{n}")) for n in ("documents", "attachments")] + [("totals", "issues", F.size("issues"))]
+    rows += [one.select(F.lit(section).alias("section"), F.lit(name).alias("name"), value.cast("long").alias("many")) for section, name, value in single]
+    return functools.reduce(DataFrame.union, rows)
 
 
 def audit_issues(spark, sf_dir):
@@ -128,9 +160,8 @@ def audit_counts(spark, sf_dir):
 
 def report_json(spark, sf_dir):
     """AGG-01, SNK-05: the report as one JSON row."""
-    done = audit.audited(table(spark, sf_dir, "attachments"), table(spark, sf_dir, "attachment_texts")).withColumn("attachment_id", F.col("id"))
-    one = audit.report(table(spark, sf_dir, "rule_docs"), done, audit.issues(done))
-    return one.select(F.to_json(F.struct("version", "summary", "issues")).alias("report"))
+    one = audit.report(table(spark, sf_dir, "rule_docs"), _audited(spark, sf_dir), _titled(spark, sf_dir), F.lit("2026-01-01T00:00:00Z"))
+    return one.select(F.to_json(F.struct("*")).alias("report"))
 
 
 def content_hash(spark, sf_dir):
@@ -234,11 +265,10 @@ def nest_unnest(spark, sf_dir):
 
 
 def drop_excluded(spark, sf_dir):
-    """FLT-11, AGG-12: how many nested attachments the policy removes, and from how many documents."""
+    """FLT-11, AGG-12: how many attachments the policy removes, and from how many documents."""
     children = table(spark, sf_dir, "attachments")
-    docs = table(spark, sf_dir, "rule_docs").select(F.col("id").alias("document_id"), F.lower("document_type").alias("document_type")).distinct()
-    whole = ordered.nested(children, "document_id", "ord", ["id", "title", "file_name", "server_file"]).join(docs, "document_id").withColumnRenamed("children", "attachments")
-    return integrity.drop_counts(integrity.drop_attachments(whole, full_text=True, past_rule=True))
+    docs = table(spark, sf_dir, "rule_docs").groupBy(F.col("id").alias("document_id")).agg(F.min(F.lower("document_type")).alias("document_type"))
+    return integrity.child_drop_counts(integrity.excluded_children(children.join(docs, "document_id"), full_text=True, past_rule=True))
 
 
 def policy_exclusion(spark, sf_dir):
@@ -249,7 +279,9 @@ def policy_exclusion(spark, sf_dir):
 
 def items_sorted_limited(spark, sf_dir):
     """SRT-01, LIM-01: the first hundred items, latest effective date first."""
-    return ordered.by_effective_date(ordered.limited(table(spark, sf_dir, "crawl_items"), 100)).select("id", "ord", "effective_date")
+    first = ordered.by_effective_date(ordered.limited(table(spark, sf_dir, "crawl_items"), 100))
+    # The rows in their order, numbered as they come: what is numbered is the limit's hundred.
+    return first.coalesce(1).select("id", "ord", "effective_date", F.monotonically_increasing_id().alias("place"))
 
 
 def union_rules_notices(spark, sf_dir):
@@ -289,11 +321,7 @@ def truncate_bytes(spark, sf_dir):
 
 def converted_stems(spark, sf_dir):
     """SCL-13..15: what converted attachments are named after."""
-    children = table(spark, sf_dir, "attachments")
-    stem = F.regexp_replace(F.coalesce("file_name", F.lit("")), r"(?<=[^.])\.[^./]+$", "")
-    title, own = text.clean_title(F.col("title")), text.clean_title(stem)
-    name = F.when((title != "") & ~text.is_generic_name(title), title).when((own != "") & ~text.is_generic_name(own), own).otherwise(F.col("id"))
-    return children.select("id", name.alias("stem")).distinct()
+    return table(spark, sf_dir, "attachments").select("id", text.attachment_stem(F.col("title"), F.col("file_name"), F.col("id")).alias("stem")).distinct()
 
 
 def extension_counts(spark, sf_dir):
@@ -331,7 +359,7 @@ def convert_texts(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        quality_metrics, quality_status, quality_issues, quality_status_counts, length_summary, length_summary_by_lang, table_like_lines, formula_hints, fail_on_warn, audit_issues, audit_counts, report_json,
+        quality_metrics, quality_status, quality_issues, quality_status_counts, length_summary, length_summary_by_lang, table_like_lines, formula_hints, fail_on_warn, fail_on_error, issue_rows, report_summary, audit_issues, audit_counts, report_json,
         content_hash, duplicate_hash_first_wins, slug_names, language_normalized, tokens, token_counts, chunks, chunk_stats, strip_tags, page_links, html_to_markdown, orphan_texts, dangling_texts,
         referenced_union, validate_rows, left_join_metadata, nest_unnest, drop_excluded, policy_exclusion, items_sorted_limited, union_rules_notices, dedupe_items, dedupe_adjacent, unique_names,
         normalize_date, truncate_bytes, converted_stems, extension_counts, render, english_twins, latex, convert_texts,
@@ -345,10 +373,17 @@ _STATE = "coalesce(nullif(a.status, ''), 'pending')"
 _ROUTE = f"""CASE WHEN {_STATE} = 'converted' AND coalesce(a.text_path, '') = '' THEN 'missing_text_path' WHEN {_STATE} = 'converted' AND s.k IS NULL THEN 'missing_converted_file'
   WHEN {_STATE} = 'converted' THEN 'inspected' WHEN {_STATE} = 'failed' THEN 'conversion_failed' ELSE 'conversion_pending' END"""
 _SQL_AUDIT = f"""WITH {_sql_metrics('attachment_texts', 'text_path', 'text')}, {_SQL_GRADED},
-r AS (SELECT a.document_id, a.id, a.ord, a.text_path, a.error, {_STATE} AS state, a.file_name, a.raw_path, {_ROUTE} AS route, s.flags, s.status AS st, s.non_space_chars, s.replacement_char_count
+r AS (SELECT a.document_id, a.id, a.ord, a.text_path, a.error, a.title, {_STATE} AS state, a.file_name, a.raw_path, {_ROUTE} AS route, s.text_chars, s.flags, s.status AS st, s.non_space_chars, s.replacement_char_count
   FROM attachments a LEFT JOIN s ON s.k = nullif(a.text_path, '')),
 q AS (SELECT r.*, CASE route WHEN 'inspected' THEN st WHEN 'conversion_pending' THEN 'pending' ELSE 'fail' END AS quality,
   coalesce(nullif(lower({_SUFFIX("coalesce(nullif(file_name, ''), raw_path, '')")}), ''), '(none)') AS extension FROM r)"""
+_SQL_ISSUES = f"""{_SQL_AUDIT}, i AS (SELECT *, pos - 1 AS flag_pos, CASE WHEN route LIKE 'missing%' OR (route = 'inspected' AND quality = 'fail') THEN 'error' ELSE 'warn' END AS severity,
+  CASE code WHEN 'missing_text_path' THEN 'converted attachment has no text_path' WHEN 'missing_converted_file' THEN 'missing converted text file ' || text_path WHEN 'conversion_failed' THEN coalesce(nullif(error, ''), 'attachment conversion failed')
+  WHEN 'conversion_pending' THEN 'attachment has not been converted' ELSE {_SQL_MESSAGE} END AS message
+  FROM (SELECT *, unnest(f) AS code, unnest(range(1, len(f) + 1)) AS pos FROM (SELECT *, CASE WHEN route = 'inspected' THEN flags ELSE [route] END AS f FROM q)))"""
+_SQL_LINE = "severity || ': ' || code || ' ' || coalesce(document_id, '') || '/' || coalesce(id, '') || ': ' || message"
+_CLEAN = lambda c: f"trim(trim(regexp_replace(coalesce({c}, ''), '{_WS}+', ' ', 'g'), ' '), ' ._-')"
+_GENERIC = lambda c: f"(regexp_full_match(regexp_replace(lower({c}), '[^0-9a-z가-힣]', '', 'g'), '|download|attachment|file|[0-9]{{8,}}[0-9a-z]*'))"
 _EXCLUDED = """(regexp_matches(x, 'filecd=(rea|gae|sin|jun)|(^|[-_/])(rea|gae|sin|jun)($|[-_.?/=&\\s])') OR trim(coalesce(title, '')) = '전문'
   OR regexp_matches(x, '개정이유|개정문|개정조문|개정지시문|신구조문|신ㆍ구조문|신·구조문|신・구조문|신구 조문|대비표'))"""
 _EXCLUDED_TEXT = "lower(trim(concat_ws(' ', nullif(title, ''), nullif(file_name, ''), nullif(server_file, ''), nullif(id, ''))))"
@@ -368,12 +403,18 @@ ORACLES = {
     "length_summary": "SELECT count(*) AS count, coalesce(min(n), 0) AS min, coalesce(CAST(trunc(median(n)) AS BIGINT), 0) AS median, coalesce(max(n), 0) AS max FROM (SELECT length(coalesce(text, '')) AS n FROM documents)",
     "length_summary_by_lang": f"SELECT {_LANG('lang')} AS language, count(*) AS count, min(length(coalesce(text, ''))) AS min, CAST(trunc(median(length(coalesce(text, '')))) AS BIGINT) AS median, max(length(coalesce(text, ''))) AS max FROM documents GROUP BY 1",
     "formula_hints": f"{_SQL_TEXTS} SELECT k AS text_path, formula_hint_count AS hints FROM s WHERE formula_hint_count > 0",
-    "fail_on_warn": f"{_SQL_TEXTS} SELECT text_path, severity || ': ' || text_path || ' ' || code || ': ' || message AS line FROM (SELECT k AS text_path, code, CASE WHEN status = 'fail' THEN 'error' ELSE 'warn' END AS severity, {_SQL_MESSAGE} AS message FROM (SELECT *, unnest(flags) AS code FROM s))",
+    "fail_on_warn": f"{_SQL_ISSUES} SELECT ord, flag_pos, {_SQL_LINE} AS line FROM i",
+    "fail_on_error": f"{_SQL_ISSUES} SELECT ord, flag_pos, {_SQL_LINE} AS line FROM i WHERE severity = 'error'",
+    "issue_rows": f"{_SQL_ISSUES} SELECT severity, code, coalesce(document_id, '') AS document_id, coalesce(t, '') AS document_title, coalesce(i.id, '') AS attachment_id, coalesce(title, '') AS attachment_title, coalesce(file_name, '') AS file_name, coalesce(message, '') AS message FROM i LEFT JOIN (SELECT id AS did, min(title) AS t FROM rule_docs GROUP BY id) d ON d.did = i.document_id",
+    "report_summary": f"""{_SQL_ISSUES}, n AS (SELECT text_chars FROM q WHERE route = 'inspected')
+SELECT 'attachment_status' AS section, state AS name, count(*) AS many FROM q GROUP BY state UNION ALL SELECT 'attachment_extensions', extension, count(*) FROM q GROUP BY extension UNION ALL SELECT 'quality_status', quality, count(*) FROM q GROUP BY quality
+UNION ALL SELECT 'totals', 'documents', count(*) FROM rule_docs UNION ALL SELECT 'totals', 'attachments', count(*) FROM attachments UNION ALL SELECT 'totals', 'issues', count(*) FROM i
+UNION ALL SELECT 'converted_text_chars', 'count', count(*) FROM n UNION ALL SELECT 'converted_text_chars', 'min', coalesce(min(text_chars), 0) FROM n
+UNION ALL SELECT 'converted_text_chars', 'median', coalesce(CAST(trunc(median(text_chars)) AS BIGINT), 0) FROM n UNION ALL SELECT 'converted_text_chars', 'max', coalesce(max(text_chars), 0) FROM n""",
+    "converted_stems": f"SELECT DISTINCT id, CASE WHEN title <> '' AND NOT {_GENERIC('title')} THEN title WHEN own <> '' AND NOT {_GENERIC('own')} THEN own WHEN coalesce(id, '') <> '' THEN id ELSE 'attachment' END AS stem FROM (SELECT id, {_CLEAN('title')} AS title, {_CLEAN('left(base, length(base) - length(coalesce(ending, ' + chr(39) * 2 + ')))')} AS own FROM (SELECT id, title, regexp_extract(coalesce(file_name, ''), '[^/]*$') AS base, {_SUFFIX('file_name')} AS ending FROM attachments))",
+    "truncate_bytes": f"SELECT DISTINCT file_name, CASE WHEN strlen(file_name) <= 40 THEN file_name ELSE coalesce(nullif(rtrim(left(stem, list_max(list_filter(range(0, length(stem) + 1), lambda n: strlen(left(stem, n)) <= greatest(1, 40 - strlen(ending))))), ' ._-'), ''), 'attachment') || ending END AS short FROM (SELECT file_name, ending, left(file_name, length(file_name) - length(ending)) AS stem FROM (SELECT file_name, coalesce({_SUFFIX('file_name')}, '') AS ending FROM attachments))",
     "table_like_lines": f"WITH {_sql_metrics('attachment_texts', 'text_path', 'text')}, l AS (SELECT k AS text_path, unnest(lines) AS line, unnest(range(0, len(lines))) AS line_no FROM base) SELECT text_path, line_no, sha256(line) AS line_hash FROM l WHERE (SELECT table_row_count FROM (WITH {_sql_metrics('(SELECT 1 AS one)', 'one', 'l.line')} SELECT table_row_count FROM m)) > 0",
-    "audit_issues": f"""{_SQL_AUDIT} SELECT document_id, id, ord, pos - 1 AS flag_pos, CASE WHEN route LIKE 'missing%' OR (route = 'inspected' AND quality = 'fail') THEN 'error' ELSE 'warn' END AS severity, code,
-  CASE code WHEN 'missing_text_path' THEN 'converted attachment has no text_path' WHEN 'missing_converted_file' THEN 'missing converted text file ' || text_path WHEN 'conversion_failed' THEN coalesce(nullif(error, ''), 'attachment conversion failed')
-  WHEN 'conversion_pending' THEN 'attachment has not been converted' ELSE {_SQL_MESSAGE} END AS message
-  FROM (SELECT *, unnest(f) AS code, unnest(range(1, len(f) + 1)) AS pos FROM (SELECT *, CASE WHEN route = 'inspected' THEN flags ELSE [route] END AS f FROM q))""",
+    "audit_issues": f"{_SQL_ISSUES} SELECT document_id, id, ord, flag_pos, severity, code, message FROM i",
     "audit_counts": f"{_SQL_AUDIT} SELECT 'status' AS kind, state AS name, count(*) AS many FROM q GROUP BY state UNION ALL SELECT 'extension', extension, count(*) FROM q GROUP BY extension UNION ALL SELECT 'quality', quality, count(*) FROM q GROUP BY quality",
     "left_join_metadata": f"{_SQL_AUDIT} SELECT state AS status, route, count(*) AS many FROM q GROUP BY state, route",
     "content_hash": f"SELECT DISTINCT id, sha256({_STRIP('body')}) AS hash, sha256({_STRIP('body')}) = content_hash AS recorded FROM rule_docs",
@@ -398,7 +439,7 @@ ORACLES = {
   ELSE regexp_matches(x, 'filecd=jun|(^|[-_/])jun($|[-_.?/=&\\s])') OR trim(coalesce(title, '')) = '전문' END) AS gone
   FROM (SELECT *, {_EXCLUDED_TEXT} AS x FROM attachments) a JOIN (SELECT DISTINCT id AS document_id, lower(document_type) AS document_type FROM rule_docs) d ON a.document_id = d.document_id GROUP BY 1, 2)""",
     "policy_exclusion": f"SELECT id, ord, title FROM (SELECT *, {_EXCLUDED_TEXT} AS x FROM attachments) WHERE {_EXCLUDED}",
-    "items_sorted_limited": "SELECT id, ord, effective_date FROM (SELECT * FROM crawl_items ORDER BY ord LIMIT 100)",
+    "items_sorted_limited": "SELECT id, ord, effective_date, row_number() OVER (ORDER BY coalesce(effective_date, '') DESC, ord) - 1 AS place FROM (SELECT * FROM crawl_items ORDER BY ord LIMIT 100)",
     "union_rules_notices": "SELECT id, document_type, ord + CASE WHEN document_type = 'notice' THEN 1099511627776 ELSE 0 END AS ord FROM crawl_items WHERE document_type IN ('rule', 'notice')",
     "dedupe_items": "SELECT document_type, id, ord, title FROM crawl_items QUALIFY row_number() OVER (PARTITION BY document_type, id ORDER BY ord) = 1",
     "dedupe_adjacent": "SELECT doc_id, len(list_filter(l, lambda x, i: i = 1 OR x <> l[i - 1])) AS lines FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import warnings
 from collections.abc import Iterator
 
 import pandas as pd
@@ -171,9 +172,11 @@ def render_markdown(docs: DataFrame) -> Column:
 def write_documents(docs: DataFrame, root: str) -> int:
     """Write every document's bundle below ``root``, which all executors share; returns how many.
 
-    A flat file of the same name below the language's folder gives way to the bundle.
+    A flat file of the same name below the language's folder gives way to the bundle. Of documents whose
+    titles give one folder the one with the least id is written, and a warning tells how many are not.
     """
-    rows = docs.select(bundle_dir(F.col("language"), F.col("document_type"), F.col("title")).alias("folder"), render_markdown(docs).alias("text"))
+    every = docs.select(bundle_dir(F.col("language"), F.col("document_type"), F.col("title")).alias("folder"), F.col("id"), render_markdown(docs).alias("text"))
+    rows = every.groupBy("folder").agg(F.min(F.struct("id", "text")).alias("d"), F.count_distinct("id").alias("n")).select("folder", "d.text", (F.col("n") - 1).alias("lost"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -186,6 +189,9 @@ def write_documents(docs: DataFrame, root: str) -> int:
                 os.replace(temporary, os.path.join(target, "index.md"))  # a repeated task leaves the same file
                 if os.path.exists(target + ".md"):
                     os.remove(target + ".md")
-            yield pd.DataFrame({"n": [len(batch)]})
+            yield pd.DataFrame({"n": [len(batch)], "lost": [int(batch["lost"].sum())]})
 
-    return rows.mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    written, lost = rows.mapInPandas(write, "n long, lost long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("lost"), F.lit(0))).first()
+    if lost:
+        warnings.warn(f"{lost} documents share the folder of another one and were not written", stacklevel=2)
+    return written

@@ -1,7 +1,7 @@
 """A Python data source over the saved answers of a portal: items of its tree, pages and files.
 
 A replay folder holds ``tree/<node>.json`` (a node's children), ``home.html``, ``rules/<book id>.html``,
-``notices/<id>.html`` and ``files/<server file>``. Nothing is fetched from a network. A live client would
+``notices/<id>.html``, ``files/<server file>`` and ``english/<book id>/<file name>``, a rule's English text. Nothing is fetched from a network. A live client would
 fill such a folder first, so that a lost task never asks a server twice.
 """
 
@@ -18,6 +18,7 @@ _SCHEMAS = {
     "items": "id string, title string, document_type string, category string, book_id string, noformyn string, menu_id string, published_date string, effective_date string, state_history_id string, ord long",
     "pages": "document_type string, id string, html string",
     "files": "server_file string, content binary",
+    "english": "id string, file_name string, content binary",
 }
 
 
@@ -69,6 +70,11 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         if self.what == "items":
             return [_Part([])]  # one polite session walks the tree
+        if self.what == "english":
+            base = os.path.join(self.folder, "english")
+            books = sorted(os.listdir(base)) if os.path.isdir(base) else []
+            names = [(book, os.path.join(base, book, sorted(os.listdir(os.path.join(base, book)))[0])) for book in books if os.listdir(os.path.join(base, book))]
+            return [_Part(names[i : i + self.each]) for i in range(0, len(names), self.each)] or [_Part([])]
         kinds = {"rules": "rule", "notices": "notice"} if self.what == "pages" else {"files": ""}
         names = [(kind, os.path.join(self.folder, sub, name)) for sub, kind in kinds.items() if os.path.isdir(os.path.join(self.folder, sub)) for name in sorted(os.listdir(os.path.join(self.folder, sub)))]
         if self.what == "pages" and os.path.exists(os.path.join(self.folder, "home.html")):
@@ -83,11 +89,14 @@ class _Reader(DataSourceReader):
             with open(path, "rb") as file:
                 data = file.read()
             name = os.path.basename(path)
+            if self.what == "english":
+                yield kind, name, data
+                continue
             yield (name, data) if self.what == "files" else (kind, os.path.splitext(name)[0], data.decode("utf-8", "replace"))
 
 
 class PortalReplay(DataSource):
-    """``spark.read.format("portal_replay").option("what", "items" | "pages" | "files").load(folder)``."""
+    """``spark.read.format("portal_replay").option("what", "items" | "pages" | "files" | "english").load(folder)``."""
 
     @classmethod
     def name(cls) -> str:

@@ -8,7 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom import cli
+from corpusloom import cli, schema
 from corpusloom.convert import convert_bytes, converted, eqedit_script, equation_to_latex, infer_extension, mime_type, raw_hints, readable_score, with_equations
 from corpusloom.functions import pages
 from corpusloom.functions.html import page_to_markdown
@@ -167,7 +167,7 @@ def test_commands(spark, replay, tmp_path, capsys):
     run = lambda *a: cli.main([*a, "--data-dir", root], spark)
     assert run("sync", "--replay-dir", replay, "--all") == 0
     docs = {r["id"]: r for r in load_documents(spark, root).collect()}
-    assert docs.keys() == {"11", "12", "21"} or docs.keys() == {"11", "21"}
+    assert docs.keys() == {"11", "12", "21"}
     first = docs["11"]["attachments"]
     assert [a["status"] for a in first] == ["converted", "failed"] and first[1]["error"]
     assert os.path.exists(os.path.join(root, first[0]["text_path"])) and os.path.exists(os.path.join(root, "manifest.json"))
@@ -175,7 +175,9 @@ def test_commands(spark, replay, tmp_path, capsys):
     assert run("quality", "--update-metadata", "--output", os.path.join(root, "report.json"), "--fail-on", "error") == 0
     assert run("quality", "--fail-on", "warn") == 1
     report = json.load(open(os.path.join(root, "report.json")))
-    assert report["summary"]["quality"]["fail"] >= 1 and report["issues"]
+    assert report["summary"]["quality_status"]["fail"] >= 1 and report["generated_at"]
+    assert report["issues"][0].keys() == {f.name for f in schema.ISSUE.fields} and all(i["document_title"] for i in report["issues"])
+    assert json.load(open(os.path.join(root, "manifest.json")))["generated_at"] and os.path.exists(os.path.join(root, "reports", "data-quality.json"))
     again = {r["id"]: r for r in load_documents(spark, root).collect()}["11"]["attachments"][0]
     assert again["quality_status"] == "warn" and again["quality_flags"] == "very_short_text" and again["table_row_count"] == 1
     orphan = os.path.join(root, os.path.dirname(first[0]["raw_path"]), "orphan.hwp")
@@ -188,6 +190,27 @@ def test_commands(spark, replay, tmp_path, capsys):
     assert run("validate") == 1 and "missing converted attachment" in capsys.readouterr().err
 
 
+def test_english_twins(spark, replay, tmp_path):
+    root = str(tmp_path / "data")
+    for book, name, content in (("11", "Rule A.txt", b"Article 1 Purpose"), ("12", "broken.pdf", b"no pdf"), ("99", "other.txt", b"x")):
+        os.makedirs(f"{replay}/english/{book}")
+        open(f"{replay}/english/{book}/{name}", "wb").write(content)
+    assert cli.main(["sync", "--replay-dir", replay, "--language", "en", "--data-dir", root], spark) == 0
+    [twin] = load_documents(spark, root).collect()
+    assert (twin["id"], twin["source_id"], twin["language"], twin["title"], twin["body"], twin["file_name"], twin["path"]) == ("11-en", "11", "en", "Rule A", "Article 1 Purpose", "Rule A.txt", "en/rules/rule-a/index.md")
+    assert os.path.exists(os.path.join(root, twin["raw_path"])) and twin["text_path"] == "en/rules/rule-a/attachments/english-full-text.md"
+    assert cli.main(["sync", "--replay-dir", replay, "--language", "ko", "--data-dir", str(tmp_path / "ko")], spark) == 0
+    assert {r["language"] for r in load_documents(spark, str(tmp_path / "ko")).collect()} == {"ko"}
+
+
+def test_one_folder_for_two_documents(spark, tmp_path):
+    twice = [BUNDLE, BUNDLE.replace('"d1"', '"d0"')]
+    docs = parse_documents(spark.createDataFrame([(str(i), b) for i, b in enumerate(twice)], "path string, text string"))
+    with pytest.warns(UserWarning, match="1 documents share"):
+        assert write_documents(docs, str(tmp_path)) == 1
+    assert [r["id"] for r in load_documents(spark, str(tmp_path)).collect()] == ["d0"]
+
+
 def test_stream(spark, tmp_path):
     from corpusloom.streaming.bundles import document_stream, graded
 

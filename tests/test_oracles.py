@@ -2,10 +2,10 @@
 
 import pytest
 
-from corpusloom.plans import general, reference
+from corpusloom.plans import cases, general, reference
 
-CORE = general.QUERIES | reference.QUERIES
-SQL = general.ORACLES | reference.ORACLES
+CORE = general.QUERIES | reference.QUERIES | cases.QUERIES
+SQL = general.ORACLES | reference.ORACLES | cases.ORACLES
 
 
 def normal(frame):

@@ -27,7 +27,7 @@ _FORMULA = (
 )
 
 
-def _sql_metrics(source: str, key: str, body: str) -> str:
+def sql_metrics(source: str, key: str, body: str) -> str:
     """CTEs ``base`` (lines) and ``m`` (the counters of a text) over a table."""
     blank = f"regexp_replace(c, '{_WS}+', '', 'g') <> ''"
     bare = _STRIP("l")
@@ -51,7 +51,7 @@ g AS (SELECT m.*, list_filter([CASE WHEN text_chars = 0 THEN 'empty_text' END, C
   greatest(0, 100 - (CASE WHEN text_chars = 0 THEN 100 ELSE 0 END) - (CASE WHEN non_space_chars BETWEEN 1 AND 39 THEN 45 ELSE 0 END)
   - least(30, 3 * replacement_char_count) - (CASE WHEN longest_line > 1200 THEN 15 ELSE 0 END)) AS score FROM m),
 s AS (SELECT g.*, CASE WHEN list_contains(flags, 'empty_text') THEN 'fail' WHEN len(flags) > 0 THEN 'warn' ELSE 'ok' END AS status FROM g)"""
-_SQL_TEXTS = f"WITH {_sql_metrics('attachment_texts', 'text_path', 'text')}, {_SQL_GRADED}"
+_SQL_TEXTS = f"WITH {sql_metrics('attachment_texts', 'text_path', 'text')}, {_SQL_GRADED}"
 _SQL_MESSAGE = """CASE code WHEN 'empty_text' THEN 'converted text is empty'
   WHEN 'very_short_text' THEN 'converted text is very short (' || non_space_chars || ' non-space chars)'
   WHEN 'replacement_characters' THEN 'converted text contains ' || replacement_char_count || ' replacement character(s)'
@@ -372,7 +372,7 @@ _SUFFIX = lambda c: f"regexp_extract(regexp_extract({c}, '[^/]*$'), '[^.](\\.[^.
 _STATE = "coalesce(nullif(a.status, ''), 'pending')"
 _ROUTE = f"""CASE WHEN {_STATE} = 'converted' AND coalesce(a.text_path, '') = '' THEN 'missing_text_path' WHEN {_STATE} = 'converted' AND s.k IS NULL THEN 'missing_converted_file'
   WHEN {_STATE} = 'converted' THEN 'inspected' WHEN {_STATE} = 'failed' THEN 'conversion_failed' ELSE 'conversion_pending' END"""
-_SQL_AUDIT = f"""WITH {_sql_metrics('attachment_texts', 'text_path', 'text')}, {_SQL_GRADED},
+_SQL_AUDIT = f"""WITH {sql_metrics('attachment_texts', 'text_path', 'text')}, {_SQL_GRADED},
 r AS (SELECT a.document_id, a.id, a.ord, a.text_path, a.error, a.title, {_STATE} AS state, a.file_name, a.raw_path, {_ROUTE} AS route, s.text_chars, s.flags, s.status AS st, s.non_space_chars, s.replacement_char_count
   FROM attachments a LEFT JOIN s ON s.k = nullif(a.text_path, '')),
 q AS (SELECT r.*, CASE route WHEN 'inspected' THEN st WHEN 'conversion_pending' THEN 'pending' ELSE 'fail' END AS quality,
@@ -413,7 +413,7 @@ UNION ALL SELECT 'converted_text_chars', 'count', count(*) FROM n UNION ALL SELE
 UNION ALL SELECT 'converted_text_chars', 'median', coalesce(CAST(trunc(median(text_chars)) AS BIGINT), 0) FROM n UNION ALL SELECT 'converted_text_chars', 'max', coalesce(max(text_chars), 0) FROM n""",
     "converted_stems": f"SELECT DISTINCT id, CASE WHEN title <> '' AND NOT {_GENERIC('title')} THEN title WHEN own <> '' AND NOT {_GENERIC('own')} THEN own WHEN coalesce(id, '') <> '' THEN id ELSE 'attachment' END AS stem FROM (SELECT id, {_CLEAN('title')} AS title, {_CLEAN('left(base, length(base) - length(coalesce(ending, ' + chr(39) * 2 + ')))')} AS own FROM (SELECT id, title, regexp_extract(coalesce(file_name, ''), '[^/]*$') AS base, {_SUFFIX('file_name')} AS ending FROM attachments))",
     "truncate_bytes": f"SELECT DISTINCT file_name, CASE WHEN strlen(file_name) <= 40 THEN file_name ELSE coalesce(nullif(rtrim(left(stem, list_max(list_filter(range(0, length(stem) + 1), lambda n: strlen(left(stem, n)) <= greatest(1, 40 - strlen(ending))))), ' ._-'), ''), 'attachment') || ending END AS short FROM (SELECT file_name, ending, left(file_name, length(file_name) - length(ending)) AS stem FROM (SELECT file_name, coalesce({_SUFFIX('file_name')}, '') AS ending FROM attachments))",
-    "table_like_lines": f"WITH {_sql_metrics('attachment_texts', 'text_path', 'text')}, l AS (SELECT k AS text_path, unnest(lines) AS line, unnest(range(0, len(lines))) AS line_no FROM base) SELECT text_path, line_no, sha256(line) AS line_hash FROM l WHERE (SELECT table_row_count FROM (WITH {_sql_metrics('(SELECT 1 AS one)', 'one', 'l.line')} SELECT table_row_count FROM m)) > 0",
+    "table_like_lines": f"WITH {sql_metrics('attachment_texts', 'text_path', 'text')}, l AS (SELECT k AS text_path, unnest(lines) AS line, unnest(range(0, len(lines))) AS line_no FROM base) SELECT text_path, line_no, sha256(line) AS line_hash FROM l WHERE (SELECT table_row_count FROM (WITH {sql_metrics('(SELECT 1 AS one)', 'one', 'l.line')} SELECT table_row_count FROM m)) > 0",
     "audit_issues": f"{_SQL_ISSUES} SELECT document_id, id, ord, flag_pos, severity, code, message FROM i",
     "audit_counts": f"{_SQL_AUDIT} SELECT 'status' AS kind, state AS name, count(*) AS many FROM q GROUP BY state UNION ALL SELECT 'extension', extension, count(*) FROM q GROUP BY extension UNION ALL SELECT 'quality', quality, count(*) FROM q GROUP BY quality",
     "left_join_metadata": f"{_SQL_AUDIT} SELECT state AS status, route, count(*) AS many FROM q GROUP BY state, route",

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.cluster import broadcast_if_small, checkpoint
+
 #: Encodings that text was written in, and those that it may have been read in by mistake.
 WRITTEN = ("utf-8", "cp949")
 READ = ("latin-1", "cp1252", "mac_roman", "cp437", "cp949", "gbk", "big5", "cp932", "euc_jp", "cp1251", "koi8_r", "utf-8")
@@ -130,21 +132,22 @@ def garbled(texts: DataFrame, key: str = "text_path", text: str = "text") -> Dat
     return judged.groupBy(key).agg(best).select(key, F.col("best.chain").alias("chain"), F.col("best.forms").alias("forms"))
 
 
-def restored(texts: DataFrame, key: str = "text_path", text: str = "text") -> DataFrame:
+def restored(texts: DataFrame, key: str = "text_path", text: str = "text", max_broadcast: int = 100_000) -> DataFrame:
     """(``key``, ``chain``, ``restored``, ``replaced_runs``, ``lost_runs``) of every affected text.
 
     Each garbled run of which the text's chain has one original is replaced by it. Runs with several
     originals (lossy readings) and runs whose original is nowhere clean in the corpus stay as they are;
     ``lost_runs`` counts the different ones.
     """
-    from corpusloom.cluster import checkpoint
-
     found = checkpoint(matches(texts, key, text))
     chains = found.groupBy(key, "chain").agg(F.countDistinct("form").alias("forms"), F.max("strong").alias("strong")).where(F.col("strong") | (F.col("forms") >= 2))
     best = chains.groupBy(key).agg(F.max(F.struct("forms", "strong", "chain")).alias("best")).select(key, F.col("best.chain").alias("chain"))
     swaps = found.join(best, [key, "chain"]).where("words = 1").groupBy(key, "chain").agg(F.map_from_entries(F.collect_list(F.struct("form", "word"))).alias("swaps"))
     # A text's own runs bound its map.
-    with_swaps = best.join(swaps, [key, "chain"], "left").join(texts.where(F.col(text).isNotNull()).select(key, F.col(text).alias("text")).dropDuplicates([key]), key)
+    # Only affected texts move: their keys are few beside all texts, and are broadcast where that is proven.
+    keys, _ = broadcast_if_small(checkpoint(best.select(key)), max_broadcast)
+    affected = texts.where(F.col(text).isNotNull()).select(key, F.col(text).alias("text")).join(keys, key, "left_semi").dropDuplicates([key])
+    with_swaps = best.join(swaps, [key, "chain"], "left").join(affected, key)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, mixed, ordinary = re.compile(RUN), re.compile(MIXED), re.compile(_PLAIN_RUN)

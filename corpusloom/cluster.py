@@ -34,12 +34,15 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """``df`` with a broadcast hint if it is proven to hold at most ``max_rows`` rows, and whether it does.
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = 1 << 28) -> tuple[DataFrame, bool]:
+    """``df`` with a broadcast hint if it is proven to hold at most ``max_rows`` rows and ``max_bytes``, and whether it does.
 
-    The proof counts at most ``max_rows + 1`` rows, so it costs little on a large table.
+    The proof looks at no more than ``max_rows + 1`` rows, so it costs little on a large table. Numbers
+    count 8 bytes, texts their own.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(8) for c, kind in df.dtypes]
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(sum(sizes, F.lit(0))), F.lit(0))).first()
+    small = rows <= max_rows and size <= max_bytes
     return (F.broadcast(df) if small else df), small
 
 

@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.convert.equation import clean_script
+from corpusloom.convert.equation import clean_script, with_equations
+from corpusloom.convert.hwp import body_streams, hwp_parts
 from corpusloom.convert.hwpx import ConversionError, hwpx_text, raw_hints
 from corpusloom.functions.html import page_to_markdown
 from corpusloom.functions.text import suffix
@@ -66,18 +67,20 @@ def _pdf_text(data: bytes) -> str:
 
 
 def _hwp_text(data: bytes) -> str:
+    text, payloads = hwp_parts(*body_streams(data))
+    if not text.strip():
+        raise ConversionError("no readable HWP body text found")
+    return with_equations(text, [eqedit_script(p) for p in payloads])
+
+
+def file_hints(extension: str, data: bytes | None) -> tuple[int, int]:
+    """How many hints of tables and formulas a raw file holds; of HWP files the equations. (0, 0) for what cannot be read."""
+    if extension != ".hwp" or not data:
+        return raw_hints(extension, data)
     try:
-        import olefile
-    except ImportError as error:
-        raise ConversionError("no HWP library is installed") from error
-    with olefile.OleFileIO(io.BytesIO(data)) as ole:
-        raw = ole.openstream("PrvText").read() if ole.exists("PrvText") else b""
-    for encoding in ("utf-16le", "utf-16", "cp949", "utf-8"):
-        text = raw.decode(encoding, "replace")
-        useful, bad = sum(map(str.isalnum, text)), text.count("�") + text.count("\0")
-        if useful / max(1, useful + bad) > 0.5:
-            return text
-    return raw.decode("utf-16le", "replace")
+        return 0, len(hwp_parts(*body_streams(data))[1])
+    except Exception:  # whatever a library raises on a broken file
+        return 0, 0
 
 
 def convert_bytes(extension: str, data: bytes) -> str:
@@ -101,7 +104,7 @@ def converted(files: DataFrame, path: str = "path", content: str = "content") ->
         for extensions, contents in batches:
             rows = []
             for extension, data in zip(extensions, contents, strict=True):
-                hints = raw_hints(extension, data)
+                hints = file_hints(extension, data)
                 try:
                     text = convert_bytes(extension, bytes(data or b"")).strip()
                     rows.append((text + "\n", "", *hints) if text else ("", "converted text is empty", *hints))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.convert import eqedit_script, equation_to_latex, infer_extension, mime_type, with_equations
 from corpusloom.convert.formats import converted, readable_score
+from corpusloom.convert.hwp import hwp_parts
 from corpusloom.functions import html, pages, policy, quality, text
 from corpusloom.operators import integrity, ordered
 from corpusloom.sources.corpus import parse_documents
@@ -78,6 +79,30 @@ def eqedit_decode(spark, sf_dir):
     return spark.createDataFrame([(0, record), (1, b"")], "no int, data binary").select("no", run("data").alias("script"))
 
 
+def _record(kind: int, payload: bytes, long: bool = False) -> bytes:
+    """A record of a body stream; ``long`` writes its length on its own."""
+    return ((0xFFF if long else len(payload)) << 20 | kind).to_bytes(4, "little") + (len(payload).to_bytes(4, "little") if long else b"") + payload
+
+
+def hwp_streams(spark, sf_dir):
+    """CNV-08, CNV-09, AGG-11: paragraphs of body streams, their equations, and the preview where there is no body."""
+    units = lambda t: t.encode("utf-16le")
+    table = (11).to_bytes(2, "little") + b"\1" * 14  # a control of eight places
+    equation = b"\0" * 4 + len(_SCRIPT).to_bytes(2, "little") + units(_SCRIPT)
+    body = _record(66, b"head") + _record(67, units("첫 문단") + table + units(" 끝\r")) + _record(67, units("\r")) + _record(67, units("둘째" * 3_000), long=True) + _record(88, equation) + _record(67, b"cut")[:-1]
+    files = [(0, [body, _record(67, units("다음 구역"))], b""), (1, [], units("미리 보기"))]
+
+    def run(streams, previews):
+        import pandas as pd
+
+        parts = [hwp_parts([bytes(b) for b in s], bytes(p)) for s, p in zip(streams, previews, strict=True)]
+        return pd.DataFrame({"lines": [[line[:20] for line in t.split("\n") if line] for t, _ in parts], "scripts": [[eqedit_script(p) for p in e] for _, e in parts]})
+
+    read = F.pandas_udf(run, "lines array<string>, scripts array<string>")("streams", "preview")
+    done = spark.createDataFrame(files, "no int, streams array<binary>, preview binary").select("no", read.alias("r"))
+    return done.select("no", F.array_join("r.lines", "|").alias("lines"), F.array_join("r.scripts", "|").alias("scripts"))
+
+
 def _archive(**parts: str) -> bytes:
     data = io.BytesIO()
     with zipfile.ZipFile(data, "w") as out:
@@ -288,6 +313,7 @@ EXPECTED: dict[str, tuple[str, list[tuple]]] = {
     "equation_balance": ("no balanced", [(i, True) for i in range(len(BROKEN))]),
     "equation_section": ("no line", [(0, "본문"), (2, "## HWP 수식"), (5, "```hwp-equation"), (6, "hat{beta _{j}}"), (7, "```"), (10, "```math"), (11, r"\hat{\beta_{j}}"), (12, "```")]),
     "eqedit_decode": ("no script", [(0, _SCRIPT), (1, "")]),
+    "hwp_streams": ("no lines scripts", [(0, "첫 문단 끝|" + "둘째" * 10 + "|다음 구역", _SCRIPT), (1, "미리 보기", "")]),
     "hwpx_convert": (
         "path status error tables formulas no line",
         [("a/one.hwpx", "converted", "", True, True, i, line) for i, line in enumerate(("| 구분 | 산식 |", "| A | B+1 |", "본문 문단", "수식: A=B+1"))]

@@ -136,13 +136,13 @@ def children(documents: DataFrame) -> DataFrame:
 
 def corpus_audit(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(documents, audit) of a corpus on disk, with the hints of its raw files."""
-    from corpusloom.convert import raw_hints
+    from corpusloom.convert import file_hints
 
     documents = load_documents(spark, root)
     files = load_files(spark, root, content=True)
     texts = files.where(F.col("rel_path").rlike("(^|/)attachments/")).select(F.col("rel_path").alias("text_path"), F.decode("content", "UTF-8").alias("text"))
-    hint = F.pandas_udf(lambda path, data: pd.DataFrame([raw_hints(os.path.splitext(p)[1].lower(), d) for p, d in zip(path, data, strict=True)], columns=["t", "f"]), "t int, f int")
-    hints = files.where(F.col("rel_path").rlike("(?i)/raw/.*\\.hwpx$")).select(F.col("rel_path").alias("raw_path"), hint("rel_path", "content").alias("h")).select("raw_path", F.col("h.t").alias("raw_tables"), F.col("h.f").alias("raw_formulas"))
+    hint = F.pandas_udf(lambda path, data: pd.DataFrame([file_hints(os.path.splitext(p)[1].lower(), d) for p, d in zip(path, data, strict=True)], columns=["t", "f"]), "t int, f int")
+    hints = files.where(F.col("rel_path").rlike("(?i)/raw/.*\\.hwpx?$")).select(F.col("rel_path").alias("raw_path"), hint("rel_path", "content").alias("h")).select("raw_path", F.col("h.t").alias("raw_tables"), F.col("h.f").alias("raw_formulas"))
     return documents, audit.audited(children(documents), texts, hints)
 
 

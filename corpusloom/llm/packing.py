@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from corpusloom.cluster import checkpoint
+from corpusloom.cluster import broadcast_if_small, checkpoint
 from corpusloom.llm.tokens import TOKENIZERS, VOCABULARY, token_count
 
 
@@ -68,7 +68,7 @@ def plan(histogram: dict[int, int], capacities: list[int], overhead: int = 64) -
     return slots, sorted(shrunk)
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacities: tuple[int, ...] = (256, 512, 1024, 2048), buckets: int = 256, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacities: tuple[int, ...] = (256, 512, 1024, 2048), buckets: int | None = None, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
     """Puts every document into containers sized in tokens.
 
     One row per document or piece: key, ``piece_no`` (from 0), ``start_token``, ``tokens``,
@@ -79,17 +79,21 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacities: t
 
     The plan needs no more than the histogram of sizes, of at most as many rows as the greatest
     capacity, and is exact for any number of items. Items find their slot by their rank among the items
-    of their size; ranks are counted in ``buckets`` hash buckets a size, so that a size that a third of
-    all items have does not end in one task.
+    of their size; ranks are counted in ``buckets`` hash buckets a size (as many as leave some 50,000 items of
+    the commonest size in each, unless given), so that a size that a third of all items have does not end in
+    one task. Slots and spans are bounded by the number of sizes,
+    whatever that of items; they are broadcast if they are as few as that.
     """
     largest = max(capacities)
     counted = docs.select(F.col(key).alias("key"), token_count(F.col(text), folder, vocabulary).alias("n"))
     pieces = counted.select("key", "n", F.posexplode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n") / largest) - 1).cast("int"))).alias("pos", "piece_no"))
     size = F.least(F.lit(largest), F.col("n") - F.col("piece_no") * largest).cast("int")
     # Tokenized once: the histogram and the assignment read the same written sizes.
-    items = checkpoint(pieces.select("key", "piece_no", size.alias("size"), F.pmod(F.xxhash64("key", "piece_no"), F.lit(buckets)).cast("int").alias("bucket")))
+    sized = checkpoint(pieces.select("key", "piece_no", size.alias("size")))
+    histogram = {r["size"]: r["many"] for r in sized.groupBy("size").agg(F.count("*").alias("many")).collect()}
+    buckets = buckets or max(16, -(-max(histogram.values(), default=0) // 50_000))
+    items = sized.withColumn("bucket", F.pmod(F.xxhash64("key", "piece_no"), F.lit(buckets)).cast("int"))
     cells = items.groupBy("size", "bucket").agg(F.count("*").alias("many"))
-    histogram = {r["size"]: r["many"] for r in cells.groupBy("size").agg(F.sum("many").alias("many")).collect()}
     slots, containers = plan(histogram, list(capacities))
 
     spark = docs.sparkSession
@@ -98,7 +102,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacities: t
     inside = F.row_number().over(Window.partitionBy("size", "bucket").orderBy("key", "piece_no")) - 1
     ranked = items.withColumn("inside", inside).join(offsets, ["size", "bucket"]).withColumn("rank", F.col("inside") + F.col("offset"))
     slot = spark.createDataFrame(slots or [(-1, 0, 0, 1, 0)], "size int, first_rank long, items long, each long, first long")
-    placed = ranked.join(F.broadcast(slot), "size", "left").where(F.col("first_rank").isNull() | ((F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("items"))))
+    placed = ranked.join(broadcast_if_small(slot, 8 * largest)[0], "size", "left").where(F.col("first_rank").isNull() | ((F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("items"))))
     number = F.col("first") + ((F.col("rank") - F.col("first_rank")) / F.col("each")).cast("long")
     # A container's size follows from its fill; the containers of one slot may differ in theirs.
     firsts = [c[0] for c in containers]
@@ -109,5 +113,5 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacities: t
             parts.append((size_, rank, *containers[c]))
     spans = spark.createDataFrame(parts or [(-1, 0, 0, 1, 0)], "size int, first_rank long, c_first long, c_many long, container_size int")
     numbered = placed.withColumn("container_no", number)
-    sized = numbered.join(F.broadcast(spans), ["size", "first_rank"], "left").where(F.col("container_no").isNull() | ((F.col("container_no") >= F.col("c_first")) & (F.col("container_no") < F.col("c_first") + F.col("c_many"))))
+    sized = numbered.join(broadcast_if_small(spans, 8 * largest)[0], ["size", "first_rank"], "left").where(F.col("container_no").isNull() | ((F.col("container_no") >= F.col("c_first")) & (F.col("container_no") < F.col("c_first") + F.col("c_many"))))
     return sized.select(F.col("key").alias(key), "piece_no", (F.col("piece_no").cast("long") * largest).alias("start_token"), F.col("size").alias("tokens"), "container_no", "container_size")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import WS, non_space_length, text_lines, text_or_empty
+from corpusloom.functions.text import WS, non_space_length, strip, text_lines, text_or_empty
 
 #: What counts as a hint of a formula, signs and phrases. No phrase holds a sign.
 FORMULA_SIGNS = "≤≥≠±×÷√∑∫∞∂→←"
@@ -28,7 +28,7 @@ PENALTIES = {
 
 def is_table_line(line: Column) -> Column:
     """Whether a line looks like a table's row: by pipes, else by tabs, else by wide gaps."""
-    bare = F.regexp_replace(line, f"^{WS}+|{WS}+$", "")
+    bare = strip(line)
     filled = lambda cells: F.filter(cells, lambda c: F.regexp_replace(c, f"{WS}+", "") != "")
     wide = filled(F.split(bare, f"{WS}{{2,}}"))
     return (
@@ -38,9 +38,13 @@ def is_table_line(line: Column) -> Column:
     )
 
 
+#: What parts cells; the range tells letters of most scripts apart first.
+_SEPARATOR = rf"(?=[\x00-\u3000])(?:[|\t]|{WS}{{2}})"
+
+
 def table_row_count(lines: Column) -> Column:
     # Lines without any separator cannot be rows; the cheap test comes first.
-    return F.size(F.filter(lines, lambda line: line.rlike(rf"\||\t|{WS}{{2,}}") & is_table_line(line))).cast("long")
+    return F.size(F.filter(lines, lambda line: line.rlike(_SEPARATOR) & is_table_line(line))).cast("long")
 
 
 def formula_hint_count(text: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: White space of the data model (Unicode white space with the file, group, record and unit separators).
 WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+#: The same characters as a string, to trim by: ends are looked at only, and no pattern runs over the rest.
+WS_CHARS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: Line boundaries of the data model.
 NL = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
@@ -21,7 +23,7 @@ def text_or_empty(value: Column) -> Column:
 
 def strip(value: Column) -> Column:
     """Without white space at either end."""
-    return F.regexp_replace(value, f"^{WS}+|{WS}+$", "")
+    return F.btrim(value, F.lit(WS_CHARS))
 
 
 def strip_chars(value: Column, chars: str) -> Column:
@@ -40,7 +42,7 @@ def non_space_length(value: Column) -> Column:
 
 def text_lines(value: Column) -> Column:
     """The non-blank lines, without white space at their ends."""
-    return F.filter(F.transform(F.split(value, NL), lambda line: F.regexp_replace(line, f"{WS}+$", "")), lambda line: line != "")
+    return F.filter(F.transform(F.split(value, NL), lambda line: F.rtrim(line, F.lit(WS_CHARS))), lambda line: line != "")
 
 
 def slug(value: Column) -> Column:

@@ -130,7 +130,8 @@ def text_statistics(texts: DataFrame, key: str = "text_path", text: str = "text"
     flagged = base.withColumn("__flags", quality.flags())
     share = lambda part, whole: F.when(whole > 0, part / whole).otherwise(0.0)
     counted = lambda column, pattern: F.regexp_count(column, F.lit(pattern))
-    common = "|".join(dict.fromkeys(COMMON_EN + COMMON_KO))
+    # Most characters and words are told by a first look at ranges, which does not change what is counted.
+    common = f"(?=[A-Za-z])(?:{'|'.join(COMMON_EN)})|(?=[가-힣])(?:{'|'.join(COMMON_KO)})"
     edge = "[.,;:()“”\"']"
     stats = flagged.withColumn("__words", counted("__t", r"\S+")).select(
         key,
@@ -140,11 +141,11 @@ def text_statistics(texts: DataFrame, key: str = "text_path", text: str = "text"
         share(F.col("non_space_chars"), F.col("__words")).alias("mean_word_length"),
         share(F.length("__t") - F.length(F.regexp_replace("__t", "[가-힣]+", "")), F.col("non_space_chars")).alias("hangul_share"),
         share(counted("__t", r"#|\.\.\.|…"), F.col("__words")).alias("symbol_ratio"),
-        share(counted("__t", r"[^\p{L}\p{N}\s]"), F.col("non_space_chars")).alias("punctuation_share"),
+        share(counted("__t", r"(?![가-힣A-Za-z0-9 ])[^\p{L}\p{N}\s]"), F.col("non_space_chars")).alias("punctuation_share"),
         share(counted("__flat", r"(?md)^[^\S\n]*(?:[-*•●○■□▪※◦]|[①-⓿])"), F.col("line_count")).alias("bullet_line_share"),
         share(counted("__flat", r"(?md)(?:\.\.\.|…)$"), F.col("line_count")).alias("ellipsis_line_share"),
         share(counted("__flat", r"(?md)[.!?。][\"'”’)\]]*$"), F.col("line_count")).alias("punctuated_line_share"),
-        share(counted("__t", r"(?<!\S)[^\s\p{L}]*+\p{L}"), F.col("__words")).alias("letter_word_share"),
+        share(counted("__t", r"(?<!\S)(?:[A-Za-z가-힣]|[^\s\p{L}]*+\p{L})"), F.col("__words")).alias("letter_word_share"),
         counted("__t", rf"(?i)(?<!\S){edge}*+(?:{common}){edge}*+(?!\S)").cast("long").alias("common_words"),
         sentence_share_column(F.col("__t")).alias("sentence_share"),
     )
